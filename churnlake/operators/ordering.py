@@ -147,13 +147,13 @@ def rows_at(df: DataFrame, positions: dict[str, Column], ranks: list[int], rows:
 
 
 def ntile_global(df: DataFrame, orderings: dict[str, By], tie: str, tiles: int = 5,
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Add one NTILE column per ordering over the whole table; ``tie`` is unique.
 
     A tile is decided by the few positions that end the tiles, so once those are found the
     rows are tiled where they lie: no row is shuffled.
     """
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     positions = {n: position(df, by, tie) for n, by in orderings.items()}
     ranks = [r for r in tile_ends(rows, tiles) if r > 0]
     ends = rows_at(df, positions, ranks, rows, rows_per_bucket) if ranks else {n: {} for n in positions}
@@ -190,13 +190,13 @@ def row_rank(df: DataFrame, by: By | list[By], tie: str, group: str | None = Non
 
 
 def lag_in_group(df: DataFrame, group: str, by: By, tie: str, columns: dict[str, str],
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                 rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Add ``LAG(column)`` within ``group`` by (key, tie) for every new-name/column pair.
 
     Groups may be huge: each is cut into ranges, the window runs per range, and the first
     row of a range takes its value from the last row of the range before.
     """
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     pos = position(df, by, tie, group)
     kind = _kind(df, pos)
     bounds = range_bounds(df, {"p": pos}, rows, rows_per_bucket)["p"]
