@@ -384,6 +384,12 @@ def oracle() -> dict[str, str]:
         "target_gate": _with("SELECT run_id, model_name, accuracy >= 0.82::DOUBLE AND roc_auc > 0.85::DOUBLE AS target_met FROM exported", "exported"),
         "score_and_segment": _with(f"""SELECT *, CASE WHEN "Actual" = 1 THEN 'Churn' ELSE 'No Churn' END AS "Actual_Label",
             CASE WHEN "Predicted" = 1 THEN 'Churn' ELSE 'No Churn' END AS "Predicted_Label", "Actual" = "Predicted" AS "Correct" FROM ({SEGMENTED.format(t='0.48::DOUBLE')})""", "scored"),
+        "load_customers": renamed("SELECT customer_id, tenure, contract, monthly_charges, COALESCE(TRY_CAST(NULLIF(TRIM(total_charges), '') AS DOUBLE), 0) AS total_charges, churn FROM renamed"),
+        "load_or_fallback": renamed("SELECT contract, COUNT(*) AS customers FROM renamed GROUP BY contract"),
+        "write_table": cust("SELECT churn, 2 * COUNT(*) AS row_count FROM customers GROUP BY churn"),
+        "reload_table": cust("SELECT customer_id, contract, churn FROM customers"),
+        "export_csv": cust("""SELECT tenure_group, COUNT(customer_id) AS total_customers, COUNT(*) FILTER (churn = 'Yes') AS churned
+            FROM customers WHERE tenure IS NOT NULL GROUP BY tenure_group"""),
         "run_sql": cust("SELECT contract, COUNT(*) AS customers, CAST(SUM(CAST(monthly_charges AS DECIMAL(18, 2))) AS DOUBLE) AS revenue FROM customers WHERE tenure >= 12 GROUP BY contract"),
     }
     high = "(SELECT QUANTILE_CONT(monthly_charges, 0.7) FROM customers)"
@@ -409,4 +415,18 @@ def oracle() -> dict[str, str]:
     voted = "SUM(t.s * w) / SUM(w)"
     out["soft_vote"] = _with(f"""SELECT customer_id, {_half_up(voted, 6)} AS ensemble FROM ({tall}) t
         JOIN (SELECT m FROM ({ranked}) ORDER BY a DESC, i LIMIT 3) USING (m) JOIN ({areas}) USING (m) GROUP BY customer_id""", "scored")
+    dummies = {
+        "contract": ["One year", "Two year"],
+        "payment_method": ["Credit card (automatic)", "Electronic check", "Mailed check"],
+        "internet_service": ["Fiber optic", "No"], "multiple_lines": ["No phone service", "Yes"],
+        "tenure_group": ["13-24 Months", "25-48 Months", "49-60 Months", "60+ Months"],
+    }
+    coded = ", ".join(f"""{_flag(f"{c} = '{v}'")} AS "{c}_{v}\"""" for c, vs in dummies.items() for v in vs)
+    out["one_hot"] = cust(f"""SELECT customer_id, ROW_NUMBER() OVER (PARTITION BY churn ORDER BY MD5(CONCAT('42|', customer_id)), customer_id)
+        <= FLOOR(0.8::DOUBLE * COUNT(*) OVER (PARTITION BY churn) + 0.5) AS is_train, {coded} FROM customers""")
+    out["smote"] = cust("""SELECT label, synthetic, n AS rows FROM (
+        SELECT label, FALSE AS synthetic, n FROM sizes UNION ALL
+        SELECT label, TRUE, (SELECT MAX(n) - MIN(n) FROM sizes) FROM sizes WHERE n = (SELECT MIN(n) FROM sizes))""").replace(
+        " SELECT label, synthetic", """, sizes AS (SELECT CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label,
+        CAST(FLOOR(0.8::DOUBLE * COUNT(*) + 0.5) AS BIGINT) AS n FROM customers GROUP BY 1) SELECT label, synthetic""", 1)
     return out

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import inputs as I
+from checks import model_queries
+from churnlake import schema
 from churnlake.functions import values as V
 from churnlake.ml import ensemble, evaluation, split
 from churnlake.operators import cleaning, features, quality, reports, rfm, store
 from churnlake.plans import customers as plans
-from churnlake.session import stage
-from churnlake.sources import tables, telco
+from churnlake.session import new_path, stage
+from churnlake.sources import files, tables, telco
 
 AS_OF = "2024-06-01"
 
@@ -383,7 +387,50 @@ def run_sql(s, d):
         {"customers": I.customers(s, d)}, least_tenure=12)
 
 
+def _raw_csv(s, d):
+    path = new_path(s, "raw-csv")
+    files.export_csv(telco.raw_feed(s, d).select(*schema.RAW_COLUMNS), path)
+    return path
+
+
+def load_customers(s, d):
+    df = cleaning.clean_total_charges(cleaning.rename_columns(files.load_customers(s, _raw_csv(s, d))))
+    return df.select("customer_id", "tenure", "contract", "monthly_charges", "total_charges", "churn")
+
+
+def load_or_fallback(s, d):
+    """No such table here, so the file is read."""
+    df = tables.load_or_fallback(s, f"absent_{uuid.uuid4().hex}", _raw_csv(s, d))
+    return df.groupBy(F.col("Contract").alias("contract")).agg(F.count(F.lit(1)).alias("customers"))
+
+
+def write_table(s, d):
+    """Written twice, the second time appended."""
+    name, path = f"customers_{uuid.uuid4().hex}", new_path(s, "table")
+    df = I.stored_customers(s, d)
+    tables.write_table(df, name, "fail", path)
+    tables.write_table(df, name, "append", path)
+    return s.table(name).groupBy("churn").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def reload_table(s, d):
+    """Loaded twice: the second load takes the place of the first."""
+    path = new_path(s, "reloaded")
+    df = I.stored_customers(s, d).select("customer_id", "contract", "churn")
+    tables.reload_table(df, path)
+    return tables.reload_table(df, path)
+
+
+def export_csv(s, d):
+    path = new_path(s, "csv")
+    files.export_csv(reports.cohort_churn_analysis(I.customers(s, d)), path, single_file=True)
+    return s.read.option("header", True).csv(path).select(
+        "tenure_group", F.col("Total_Customers").cast("long").alias("total_customers"),
+        F.col("Churned").cast("long").alias("churned"))
+
+
 _NAMES = [
+    load_customers, load_or_fallback, write_table, reload_table, export_csv,
     clean_rename, clean_total_charges, impute_total_charges, clean_yes_no, clean_int, clip_negative,
     dedupe_customers, tenure_group, clean_customers, filter_churned, filter_high_value, filter_long_tenure,
     filter_unexpired, payment_text_search, customer_summary, billing_features, customer_features, service_counts,
@@ -403,4 +450,4 @@ def registered():
     def finished(f):
         return lambda spark, folder: I.plain(f(spark, folder))
 
-    return {f.__name__: finished(f) for f in _NAMES}
+    return {f.__name__: finished(f) for f in _NAMES + model_queries.NAMES}

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,10 @@ def run_sql_file(spark: SparkSession, path: str, frames: dict[str, DataFrame] |
     return run_sql(spark, text, frames, **params)
 
 
-def write_table(df: DataFrame, name: str, if_exists: str = "replace") -> None:
-    df.write.mode(MODES[if_exists]).saveAsTable(name)
+def write_table(df: DataFrame, name: str, if_exists: str = "replace", path: str | None = None) -> None:
+    """Save as a table: ``fail``, ``replace`` or ``append`` if it exists."""
+    writer = df.write.mode(MODES[if_exists])
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
@@ -46,23 +49,25 @@ def load_or_fallback(spark: SparkSession, table: str, path: str, force_table: bo
     return load_customers(spark, path)
 
 
-def reload_table(df: DataFrame, name: str, rows_per_file: int = 5_000_000) -> int:
-    """Replace a table's rows and verify the count.
+def reload_table(df: DataFrame, folder: str, rows_per_file: int = 5_000_000) -> DataFrame:
+    """Replace a stored dataset and verify the row count.
 
-    The rows go to a staging table first, which is checked and only then takes the
-    place of the old one: a failed load leaves the old rows in place.
+    Each load goes to a new version folder; only after its count is checked does the
+    one-line pointer file name it as current. A failed load leaves the old rows current.
     """
     spark = df.sparkSession
-    if not re.fullmatch(r"[A-Za-z0-9_.]+", name):
-        raise ValueError(f"not a table name: {name}")
-    staging = f"{name}__staging"
+    version = f"{folder}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).saveAsTable(staging)
-    loaded, expected = spark.table(staging).count(), seen.get["rows"]
+    counted.write.option("maxRecordsPerFile", rows_per_file).parquet(version)
+    loaded, expected = spark.read.schema(df.schema).parquet(version).count(), seen.get["rows"]
     if loaded != expected:
-        spark.sql(f"DROP TABLE {staging}")
         raise RuntimeError(f"Load check failed: expected {expected} rows, got {loaded}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
-    return loaded
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(f"{folder}/versions")
+    return read_current(spark, folder)
+
+
+def read_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The dataset the last successful reload left behind."""
+    newest = spark.read.text(f"{folder}/versions").agg(F.max("value").alias("v")).first()["v"]
+    return spark.read.parquet(newest)
