@@ -62,8 +62,17 @@ SPARK_COPIES = "EXPLODE(CASE WHEN balance < 0 THEN ARRAY(0, 1) ELSE ARRAY(0) END
 ORACLE_COPIES = "UNNEST(CASE WHEN balance < 0 THEN [0, 1] ELSE [0] END)"
 
 
+# Layouts of the given tables: stated, so that no job has to read file footers first.
+LAYOUTS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(LAYOUTS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_feed(spark: SparkSession, folder: str) -> DataFrame:
