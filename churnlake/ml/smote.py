@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.operators.ordering import By, bucket_of, position, range_bounds, row_rank
+from churnlake.operators.ordering import By, Position, range_bounds, row_rank, with_bucket
 from churnlake.session import stage
 
 ROWS_PER_BUCKET = 20_000
@@ -87,10 +87,9 @@ def nearest_vectors(points: DataFrame, k: int, rows_per_bucket: int = ROWS_PER_B
     axis = F.array(*[F.lit(v) for v in projection(points)])
     along = F.aggregate(F.zip_with("x", axis, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
     placed = stage(points.withColumn("p", along), "smote-points")
-    pos = position(placed, By("p"), "vid")
-    kind = placed.select(pos.alias("p")).schema["p"].dataType
-    bounds = range_bounds(placed, {"p": pos}, placed.count(), rows_per_bucket)["p"]
-    placed = placed.withColumn("bucket", bucket_of(pos, kind, bounds))
+    pos = Position(placed, By("p"), "vid")
+    bounds = range_bounds(placed, pos, placed.count(), rows_per_bucket)
+    placed = with_bucket(placed, pos, bounds, "bucket")
     inside = _searcher(k, own=True)
     found = placed.groupBy("bucket").applyInPandas(lambda g: inside(g, g), FOUND)
     if not bounds:

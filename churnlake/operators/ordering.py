@@ -27,6 +27,7 @@ from churnlake.session import attach
 ROWS_PER_BUCKET = 1_000_000
 MOST_BUCKETS = 20_000        # more rows than this many buckets hold only makes buckets larger
 SAMPLES_PER_BUCKET = 20
+SELECT_SAMPLE = 200_000
 
 
 @dataclass(frozen=True)
@@ -38,66 +39,95 @@ class By:
     nulls_first: bool | None = None
 
 
-def position(df: DataFrame, by: By | list[By], tie: str | None = None, group: str | None = None) -> Column:
-    """Sort position as a struct without NULL or NaN keys, always compared ascending.
+class Position:
+    """Sort position of a row: fields without NULL or NaN, all compared ascending.
 
-    Descending keys must be numeric: they are negated.
+    Descending keys must be numeric: they are negated. With ``group`` the group comes first.
+    """
+
+    def __init__(self, df: DataFrame, by: By | list[By], tie: str | None = None, group: str | None = None):
+        self.fields: dict[str, Column] = {}
+        if group is not None:
+            self.fields["group_known"] = F.col(group).isNotNull()
+            self.fields["group_key"] = F.coalesce(F.col(group), _filler(df, group))
+        for i, one in enumerate([by] if isinstance(by, By) else by):
+            key = F.col(one.column)
+            first = one.descending if one.nulls_first is None else one.nulls_first
+            place = F.when(key.isNull(), F.lit(-2 if first else 2))
+            if isinstance(df.schema[one.column].dataType, (T.DoubleType, T.FloatType)):
+                place = place.when(F.isnan(key), F.lit(-1 if one.descending else 1))
+                key = F.when(~F.isnan(key), key)
+            plain = F.coalesce(key, _filler(df, one.column))
+            self.fields[f"place_{i}"] = place.otherwise(F.lit(0))
+            self.fields[f"key_{i}"] = -plain if one.descending else plain
+        if tie is not None:
+            self.fields["tie"] = F.coalesce(F.col(tie), _filler(df, tie))
+        self.struct = F.struct(*[c.alias(n) for n, c in self.fields.items()])
+        self.kind = df.select(self.struct.alias("p")).schema["p"].dataType
+        self.in_group = [n for n in self.fields if not n.startswith("group_")]
+
+    def after(self, bound: str) -> Column:
+        """Whether the row comes after a position given as JSON: plain comparisons, no struct."""
+        limit = F.from_json(F.lit(bound), self.kind)
+        later = F.lit(False)
+        for name in reversed(self.fields):
+            later = (self.fields[name] > limit[name]) | ((self.fields[name] == limit[name]) & later)
+        return later
+
+    def within(self, low: str | None, high: str | None) -> Column:
+        """Whether low < position <= high; None is no limit."""
+        inside = F.lit(True) if low is None else self.after(low)
+        return inside if high is None else inside & ~self.after(high)
+
+
+def _filler(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    return F.lit(0 if isinstance(kind, T.NumericType) else "").cast(kind)
+
+
+def range_bounds(df: DataFrame, pos: Position, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
+                 seed: int = 42) -> list:
+    """Positions (JSON values) that cut the rows into near-equal ranges.
+
+    They come in pairs: where the tail of a range starts, and where the next range starts.
     """
-    fields = []
-    if group is not None:
-        empty = F.lit("").cast(df.schema[group].dataType)
-        fields += [F.col(group).isNotNull().alias("group_known"), F.coalesce(F.col(group), empty).alias("group_key")]
-    for i, one in enumerate([by] if isinstance(by, By) else by):
-        key, kind = F.col(one.column), df.schema[one.column].dataType
-        first = one.descending if one.nulls_first is None else one.nulls_first
-        place = F.when(key.isNull(), F.lit(-2 if first else 2))
-        if isinstance(kind, (T.DoubleType, T.FloatType)):
-            place = place.when(F.isnan(key), F.lit(-1 if one.descending else 1))
-        place = place.otherwise(F.lit(0))
-        filler = F.lit(0).cast(kind) if isinstance(kind, T.NumericType) else F.lit("").cast(kind)
-        plain = F.when(place == 0, key).otherwise(filler)
-        fields += [place.alias(f"place_{i}"), (-plain if one.descending else plain).alias(f"key_{i}")]
-    if tie is not None:
-        fields.append(F.col(tie).alias("tie"))
-    return F.struct(*fields)
-
-
-def range_bounds(df: DataFrame, positions: dict[str, Column], rows: int,
-                 rows_per_bucket: int = ROWS_PER_BUCKET, seed: int = 42) -> dict[str, list]:
-    """Boundaries (as JSON values) per ordering that cut the rows into near-equal ranges."""
     buckets = min(math.ceil(rows / rows_per_bucket), MOST_BUCKETS)
     if buckets <= 1:
-        return {name: [] for name in positions}
+        return []
     sample = df.sample(min(1.0, SAMPLES_PER_BUCKET * buckets / rows), seed)
-    picked = sample.agg(*[F.array_sort(F.collect_list(p)).alias(n) for n, p in positions.items()])
-    steps = F.sequence(F.lit(1), F.lit(buckets - 1))
-
-    def evenly(name: str) -> Column:
-        return F.transform(steps, lambda i: F.element_at(
-            name, F.greatest(F.lit(1), F.ceil(i * F.size(name) / buckets).cast("int"))))
-
-    row = picked.select(*[
-        F.when(F.size(n) > 0, F.to_json(F.array_distinct(evenly(n)))).alias(n) for n in positions]).first()
-    return {n: json.loads(row[n]) if row[n] else [] for n in positions}
-
-
-def bucket_of(pos: Column, kind: T.DataType, bounds: list) -> Column:
-    """Number of boundaries at or below the position: a two-level search over literals."""
+    sample = sample.agg(F.array_sort(F.collect_list(pos.struct)).alias("s"))
+    at = F.ceil(F.col("i") * F.size("s") / buckets).cast("int")
+    picked = sample.select("s", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
+        at.alias("at"), F.to_json(F.get("s", at - 2)).alias("tail"), F.to_json(F.get("s", at - 1)).alias("start"))
+    rows_ = picked.filter(F.col("tail").isNotNull()).dropDuplicates(["at"]).orderBy("at").collect()
+    pairs = [(r["at"], r["tail"], r["start"]) for r in rows_]
+    # A tail may start right at the range's own start; ranges next to each other share no position.
+    return [json.loads(x) for i, (at_, tail, start) in enumerate(pairs)
+            if tail != start and (i == 0 or at_ - pairs[i - 1][0] >= 2) for x in (tail, start)]
+
+
+def with_section(df: DataFrame, pos: Position, bounds: list, name: str = "__section") -> DataFrame:
+    """Add the number of boundaries at or below the row's position.
+
+    Section 2b is the front and 2b + 1 the tail of range b. A two-level search over
+    literals; the position is cast once per row to the literals' nullable type.
+    """
     if not bounds:
-        return F.lit(0)
+        return df.withColumn(name, F.lit(0))
     width = math.isqrt(len(bounds) - 1) + 1
     chunks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    kind = T.StructType([T.StructField(f.name, f.dataType, True) for f in pos.kind.fields])
     heads = F.from_json(F.lit(json.dumps([c[0] for c in chunks])), T.ArrayType(kind))
     inner = F.from_json(F.lit(json.dumps(chunks)), T.ArrayType(T.ArrayType(kind)))
-    coarse = F.transform(F.array(pos), lambda p: F.struct(
+    coarse = F.transform(F.array(pos.struct.cast(kind)), lambda p: F.struct(
         p.alias("p"), F.size(F.filter(heads, lambda b: b <= p)).alias("chunk")))
     fine = F.transform(coarse, lambda s: F.when(s["chunk"] == 0, F.lit(0)).otherwise(
         (s["chunk"] - 1) * width + F.size(F.filter(F.get(inner, s["chunk"] - 1), lambda b: b <= s["p"]))))
-    return fine[0]
+    return df.withColumn(name, fine[0])
 
 
-def _kind(df: DataFrame, pos: Column) -> T.DataType:
-    return df.select(pos.alias("p")).schema["p"].dataType
+def with_bucket(df: DataFrame, pos: Position, bounds: list, name: str = "__bucket") -> DataFrame:
+    return with_section(df, pos, bounds, "__s").withColumn(name, F.floor(F.col("__s") / 2).cast("int")).drop("__s")
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -106,42 +136,96 @@ def tile_ends(rows: int, tiles: int) -> list[int]:
     return [t * base + min(t, extra) for t in range(1, tiles)]
 
 
-def rows_at(df: DataFrame, positions: dict[str, Column], ranks: list[int], rows: int,
-            rows_per_bucket: int = ROWS_PER_BUCKET) -> dict[str, dict[int, str]]:
-    """For each ordering the positions (as JSON) found at the given 1-based ranks.
+@dataclass
+class Bracket:
+    """Where a wanted rank lies: rows with low < position <= high, ``before`` rows precede them."""
 
-    Only the buckets that hold a wanted rank are ranked; the rest is merely counted, with
-    partial sums on the map side. The driver sees bucket counts and the wanted positions.
+    rank: int
+    inside: int
+    before: int = 0
+    low: str | None = None
+    high: str | None = None
+
+
+def _bracketed(df: DataFrame, pos: Position, brackets: list[tuple]) -> DataFrame:
+    """Rows with the number of every bracket (low, high) they lie in."""
+    if brackets == [(None, None)]:
+        return df.select(F.lit(0).alias("b"), pos.struct.alias("p"))
+    inside = [pos.within(low, high) for low, high in brackets]
+    any_ = inside[0]
+    for one in inside[1:]:
+        any_ = any_ | one
+    numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))
+    return df.filter(any_).select(F.explode(numbers).alias("b"), pos.struct.alias("p"))
+
+
+def rows_at(df: DataFrame, positions: dict[str, Position], ranks: list[int], rows: int,
+            limit: int = ROWS_PER_BUCKET, sample: int = SELECT_SAMPLE) -> dict[str, dict[int, str]]:
+    """For each ordering the positions (JSON) at the given 1-based ranks, without sorting the rows.
+
+    A sample narrows every rank down to a bracket of about one percent, one counting pass
+    tells what precedes it and what it holds. Repeated until a bracket is small enough to
+    be sorted by one task. A sample that misses costs another round, never the result.
     """
-    bounds = range_bounds(df, positions, rows, rows_per_bucket)
-    bucketed = {n: bucket_of(p, _kind(df, p), bounds[n]) for n, p in positions.items()}
-    counts: dict[str, list[int]] = {}
-    if any(bounds.values()):
-        tall = df.select(F.explode(F.array(*[
-            F.struct(F.lit(n).alias("ordering"), b.alias("bucket")) for n, b in bucketed.items()])).alias("x"))
-        sizes = defaultdict(dict)
-        for r in tall.groupBy("x.ordering", "x.bucket").count().collect():
-            sizes[r["ordering"]][r["bucket"]] = r["count"]
-        counts = {n: [sizes[n].get(i, 0) for i in range(len(bounds[n]) + 1)] for n in positions}
-    found = None
+    found = {n: [Bracket(r, rows) for r in sorted(set(ranks))] for n in positions}
+    while any(b.inside > limit for bs in found.values() for b in bs):
+        before = sum(b.inside for bs in found.values() for b in bs)
+        guesses = None
+        for name, pos in positions.items():
+            open_ = [b for b in found[name] if b.inside > limit]
+            spans = list(dict.fromkeys((b.low, b.high) for b in open_))
+            if not spans:
+                continue
+            share, picks = min(1.0, sample / max(b.inside for b in open_)), []
+            for i, span in enumerate(spans):
+                mine = [b for b in open_ if (b.low, b.high) == span]
+                for b in mine:
+                    q = (b.rank - b.before) / b.inside
+                    middle, width = F.col("m") * q, F.sqrt(F.col("m") * (4 * math.sqrt(q * (1 - q))) ** 2) + 2
+                    picks.append(F.when(F.col("b") == i, F.struct(
+                        F.lit(b.rank).cast("long").alias("rank"),
+                        F.when(middle > width, F.to_json(F.get("s", F.floor(middle - width).cast("int")))).alias("low"),
+                        F.to_json(F.get("s", F.ceil(middle + width).cast("int"))).alias("high"))))
+            sampled = _bracketed(df.sample(share, 42), pos, spans).groupBy("b").agg(
+                F.array_sort(F.collect_list("p")).alias("s"))
+            one = sampled.withColumn("m", F.size("s")).select(F.inline(F.array_compact(F.array(*picks)))).select(
+                F.lit(name).alias("ordering"), "rank", "low", "high")
+            guesses = one if guesses is None else guesses.unionByName(one)
+        guess = {(g["ordering"], g["rank"]): (g["low"], g["high"]) for g in guesses.collect()}
+        cells, counts = [], []
+        for name, pos in positions.items():
+            for b in found[name]:
+                if b.inside > limit:
+                    low, high = guess.get((name, b.rank), (None, None))
+                    low, high = low or b.low, high or b.high
+                    cells.append((b, low, high))
+                    for inside in ((F.lit(False) if low == b.low else pos.within(b.low, low)), pos.within(low, high)):
+                        counts.append(F.count_if(inside).alias(f"c{len(counts)}"))
+        counted = df.agg(*counts).first()
+        for i, (b, low, high) in enumerate(cells):
+            front, middle, local = counted[2 * i], counted[2 * i + 1], b.rank - b.before
+            if local <= front:
+                b.high, b.inside = low, front
+            elif local <= front + middle:
+                b.low, b.high, b.inside, b.before = low, high, middle, b.before + front
+            else:
+                b.low, b.inside, b.before = high, b.inside - front - middle, b.before + front + middle
+        if sum(b.inside for bs in found.values() for b in bs) >= before:
+            break                              # many equal positions: the brackets cannot shrink further
+    hits = None
     for name, pos in positions.items():
-        ends = list(accumulate(counts.get(name, [rows])))
-        wanted = defaultdict(list)
-        for rank in sorted(set(ranks)):
-            b = next(i for i, end in enumerate(ends) if rank <= end)
-            wanted[b].append((rank, rank - (ends[b - 1] if b else 0)))
-        here = df.select(bucketed[name].alias("bucket"), pos.alias("p")).filter(F.col("bucket").isin(list(wanted)))
-        order = Window.partitionBy("bucket").orderBy(*[f"p.{f}" for f in _kind(df, pos).names])
-        hit = F.lit(None).cast("long")
-        for b, pairs in wanted.items():
-            for rank, local in pairs:
-                hit = F.when((F.col("bucket") == b) & (F.col("rn") == local), F.lit(rank).cast("long")).otherwise(hit)
-        one = (here.withColumn("rn", F.row_number().over(order)).withColumn("rank", hit)
+        spans = list(dict.fromkeys((b.low, b.high) for b in found[name]))
+        order = Window.partitionBy("b").orderBy(*[f"p.{f}" for f in pos.fields])
+        rank = F.lit(None).cast("long")
+        for b in found[name]:
+            here = (F.col("b") == spans.index((b.low, b.high))) & (F.col("rn") == b.rank - b.before)
+            rank = F.when(here, F.lit(b.rank).cast("long")).otherwise(rank)
+        one = (_bracketed(df, pos, spans).withColumn("rn", F.row_number().over(order)).withColumn("rank", rank)
                .filter(F.col("rank").isNotNull())
                .select(F.lit(name).alias("ordering"), "rank", F.to_json("p").alias("p")))
-        found = one if found is None else found.unionByName(one)
+        hits = one if hits is None else hits.unionByName(one)
     result: dict[str, dict[int, str]] = {n: {} for n in positions}
-    for r in found.collect():
+    for r in hits.collect():
         result[r["ordering"]][r["rank"]] = r["p"]
     return result
 
@@ -154,87 +238,90 @@ def ntile_global(df: DataFrame, orderings: dict[str, By], tie: str, tiles: int =
     rows are tiled where they lie: no row is shuffled.
     """
     rows = df.count() if rows is None else rows
-    positions = {n: position(df, by, tie) for n, by in orderings.items()}
-    ranks = [r for r in tile_ends(rows, tiles) if r > 0]
+    positions = {n: Position(df, by, tie) for n, by in orderings.items()}
+    ranks = sorted({r for r in tile_ends(rows, tiles) if r > 0})
     ends = rows_at(df, positions, ranks, rows, rows_per_bucket) if ranks else {n: {} for n in positions}
+    all_ends = tile_ends(rows, tiles)
     columns = {}
     for name, pos in positions.items():
-        kind = _kind(df, pos)
-        tile = F.lit(1)
-        for rank in ranks:
-            end = F.from_json(F.lit(ends[name][rank]), kind)
-            tile = tile + F.when(pos > end, F.lit(1)).otherwise(F.lit(0))
+        tile = F.lit(tiles if rows >= tiles else max(rows, 1))
+        for number in range(len(all_ends), 0, -1):
+            if all_ends[number - 1] > 0:
+                tile = F.when(pos.after(ends[name][all_ends[number - 1]]), tile).otherwise(F.lit(number))
         columns[name] = tile.cast("int")
     return df.withColumns(columns)
 
 
+def _ranged(df: DataFrame, pos: Position, bounds: list) -> DataFrame:
+    section = with_section(df, pos, bounds).withColumns({"__p": pos.struct})
+    return section.withColumn("__bucket", F.floor(F.col("__section") / 2).cast("int"))
+
+
 def row_rank(df: DataFrame, by: By | list[By], tie: str, group: str | None = None, name: str = "rank",
              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the exact 1-based position of every row, in the table or within ``group``."""
     rows = df.count()
-    pos = position(df, by, tie, group)
-    kind = _kind(df, pos)
-    bounds = range_bounds(df, {"p": pos}, rows, rows_per_bucket)["p"]
+    pos = Position(df, by, tie, group)
+    bounds = range_bounds(df, pos, rows, rows_per_bucket)
     keys = ([group] if group else []) + ["__bucket"]
-    out = df.withColumns({"__p": pos, "__bucket": bucket_of(pos, kind, bounds)})
-    order = Window.partitionBy(*keys).orderBy(*[f"__p.{f}" for f in kind.names])
+    out = _ranged(df, pos, bounds)
+    order = Window.partitionBy(*keys).orderBy(*[f"__p.{f}" for f in pos.in_group])
     local = F.row_number().over(order).cast("long")
     if not bounds:
-        return out.withColumn(name, local).drop("__p", "__bucket")
+        return out.withColumn(name, local).drop("__p", "__section", "__bucket")
     before = Window.partitionBy(*([group] if group else [F.lit(0)])).orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     offsets = sizes.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     ranked = attach(out.withColumn("__local", local), offsets, keys)
-    return ranked.withColumn(name, F.col("__local") + F.col("__before")).drop("__p", "__bucket", "__local", "__before")
+    return ranked.withColumn(name, F.col("__local") + F.col("__before")).drop(
+        "__p", "__section", "__bucket", "__local", "__before")
 
 
 def lag_in_group(df: DataFrame, group: str, by: By, tie: str, columns: dict[str, str],
                  rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Add ``LAG(column)`` within ``group`` by (key, tie) for every new-name/column pair.
 
-    Groups may be huge: each is cut into ranges, the window runs per range, and the first
-    row of a range takes its value from the last row of the range before.
+    Groups may be huge: the table is cut into ranges of (group, key, tie), the window runs
+    per range, and the first row of a range takes its value from the last row of the range
+    before, if that is of the same group. Last rows are looked for in the tails only.
     """
     rows = df.count() if rows is None else rows
-    pos = position(df, by, tie, group)
-    kind = _kind(df, pos)
-    bounds = range_bounds(df, {"p": pos}, rows, rows_per_bucket)["p"]
+    pos = Position(df, by, tie, group)
+    bounds = range_bounds(df, pos, rows, rows_per_bucket)
     values = F.struct(*[F.col(c).alias(n) for n, c in columns.items()])
-    out = df.withColumns({"__p": pos, "__bucket": bucket_of(pos, kind, bounds)})
-    order = Window.partitionBy(group, "__bucket").orderBy(*[f"__p.{f}" for f in kind.names])
+    out = _ranged(df, pos, bounds)
+    order = Window.partitionBy(group, "__bucket").orderBy(*[f"__p.{f}" for f in pos.in_group])
     out = out.withColumn("__prev", F.lag(values).over(order))
     if not bounds:
-        return out.withColumns({n: F.col("__prev")[n] for n in columns}).drop("__p", "__bucket", "__prev")
-    edges = (df.select(group, bucket_of(pos, kind, bounds).alias("__bucket"), pos.alias("__p"), values.alias("__v"))
-             .groupBy(group, "__bucket").agg(F.max_by("__v", "__p").alias("__last")))
-    carried = edges.select(group, "__bucket", F.lag("__last").over(
-        Window.partitionBy(group).orderBy("__bucket")).alias("__carry"))
+        return out.withColumns({n: F.col("__prev")[n] for n in columns}).drop("__p", "__section", "__bucket", "__prev")
+    tails = _ranged(df, pos, bounds).filter(F.col("__section") % 2 == 1)
+    last = tails.groupBy("__bucket").agg(F.max_by(F.struct(F.col(group).alias("g"), values.alias("v")), "__p").alias("l"))
+    carried = last.select(F.col("l.g").alias(group), (F.col("__bucket") + 1).alias("__bucket"), F.col("l.v").alias("__carry"))
     joined = attach(out, carried, [group, "__bucket"])
     chosen = F.when(F.col("__prev").isNotNull(), F.col("__prev")).otherwise(F.col("__carry"))
-    return joined.withColumns({n: chosen[n] for n in columns}).drop("__p", "__bucket", "__prev", "__carry")
+    return joined.withColumns({n: chosen[n] for n in columns}).drop("__p", "__section", "__bucket", "__prev", "__carry")
 
 
 def running_totals(df: DataFrame, by: By, sums: dict[str, str],
                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add inclusive running sums in key order; keys are unique (aggregate first)."""
     rows = df.count()
-    pos = position(df, by)
-    kind = _kind(df, pos)
-    bounds = range_bounds(df, {"p": pos}, rows, rows_per_bucket)["p"]
-    out = df.withColumns({"__p": pos, "__bucket": bucket_of(pos, kind, bounds)})
-    order = (Window.partitionBy("__bucket").orderBy(*[f"__p.{f}" for f in kind.names])
+    pos = Position(df, by)
+    bounds = range_bounds(df, pos, rows, rows_per_bucket)
+    out = _ranged(df, pos, bounds)
+    order = (Window.partitionBy("__bucket").orderBy(*[f"__p.{f}" for f in pos.fields])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = out.withColumns({n: F.sum(c).over(order) for n, c in sums.items()})
+    local = out.withColumns({n: F.sum(c).over(order) for n, c in sums.items()}).drop("__p", "__section")
     if not bounds:
-        return local.drop("__p", "__bucket")
+        return local.drop("__bucket")
     before = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = out.groupBy("__bucket").agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
     offsets = totals.select("__bucket", *[
         F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in sums])
     joined = attach(local, offsets, ["__bucket"])
     return (joined.withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in sums})
-            .drop("__p", "__bucket", *[f"__b_{n}" for n in sums]))
+            .drop("__bucket", *[f"__b_{n}" for n in sums]))
 
 
 def quantiles(df: DataFrame, column: str, probabilities: list[float],
@@ -254,9 +341,9 @@ def quantiles(df: DataFrame, column: str, probabilities: list[float],
         total = int(size["n"])
         points = [(total - 1) * p for p in probabilities]
         ranks = sorted({r + 1 for x in points for r in (math.floor(x), math.ceil(x))})
-        pos = position(hist, By("v"))
-        bounds = range_bounds(hist, {"p": pos}, size["d"], rows_per_bucket)["p"]
-        spread = hist.withColumn("bucket", bucket_of(pos, _kind(hist, pos), bounds))
+        pos = Position(hist, By("v"))
+        bounds = range_bounds(hist, pos, size["d"], rows_per_bucket)
+        spread = with_bucket(hist, pos, bounds, "bucket")
         sizes = {0: total}
         if bounds:
             sizes = {r["bucket"]: r["n"] for r in spread.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
