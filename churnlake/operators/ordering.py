@@ -151,12 +151,9 @@ def _bracketed(df: DataFrame, pos: Position, brackets: list[tuple]) -> DataFrame
     """Rows with the number of every bracket (low, high) they lie in."""
     if brackets == [(None, None)]:
         return df.select(F.lit(0).alias("b"), pos.struct.alias("p"))
-    inside = [pos.within(low, high) for low, high in brackets]
-    any_ = inside[0]
-    for one in inside[1:]:
-        any_ = any_ | one
-    numbers = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(inside)]))
-    return df.filter(any_).select(F.explode(numbers).alias("b"), pos.struct.alias("p"))
+    numbers = F.array_compact(F.array(*[
+        F.when(pos.within(low, high), F.lit(i)) for i, (low, high) in enumerate(brackets)]))
+    return df.select(F.explode(numbers).alias("b"), pos.struct.alias("p"))
 
 
 def rows_at(df: DataFrame, positions: dict[str, Position], ranks: list[int], rows: int,
