@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlake.llm import language, near_dedup, pii
+import public_tokenizers
+from churnlake.llm import language, mixing, near_dedup, packing, pii
 from churnlake.llm.common import table
 
 
@@ -14,6 +15,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mixture takes."""
+    return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised, in windows."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
@@ -26,5 +37,5 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op8_pii, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_mixing, op6_packing, op8_pii, op9_language_id)}
 ORACLE: dict[str, str] = {}
