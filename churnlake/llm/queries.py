@@ -6,10 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from churnlake.llm import language, mixing, near_dedup, packing, pii
+from churnlake.llm import block_search, language, mixing, near_dedup, packing, pii, url_filter, winnowing
 from churnlake.llm.common import table
 
 
+RULES = [url_filter.Rule("allow", "com/"), url_filter.Rule("block", "example.com/en/"), url_filter.Rule("allow", "www.example.com/en/"),
+         url_filter.Rule("block", "net/es/"), url_filter.Rule("block", "net/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the URL of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate groups of all documents."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -25,6 +34,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return winnowing.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents."""
     return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
@@ -37,5 +51,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op5_mixing, op6_packing, op8_pii, op9_language_id)}
+def op10_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector among all others."""
+    return block_search.nearest(table(spark, sf_dir, "embeddings"), lambda id_: id_ % 50 == 0)
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_simhash_near_dedup, op5_mixing, op6_packing, op7_winnowing,
+                                  op8_pii, op9_language_id, op10_block_search)}
 ORACLE: dict[str, str] = {}
