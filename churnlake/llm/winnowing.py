@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing. DataFrame functions only.
 
-A text is cut into units: runs without white space, cut after every eight characters. The hashes
-of ``K`` consecutive units roll from pair to pair, and of every ``W`` consecutive hashes the least
+A text is cut into units at blanks and line feeds; in a text whose units have more than 32 characters
+on average, words are also cut after every 32. A polynomial hash runs over every K consecutive units, and of every W consecutive hashes the least
 is kept, the rightmost of equal ones, with its position. Two texts that share W + K - 1
 consecutive units therefore share a fingerprint, and nothing shorter than K units counts.
 """
@@ -12,21 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, W = 4, 8
-UNIT = r"[^\s]{1,8}"
+LONGEST = 32
 MASK = (1 << 32) - 1
-#: Odd factors below 2**31, so that products with 32-bit hashes stay below 2**63.
+#: Factors of the polynomial, by one and by two units. Below 2**31, so that products with 32-bit hashes stay below 2**63.
 FACTOR_1, FACTOR_2 = 1_566_083_941, 1_812_433_253
 POSITION_BITS = 31
-
-
-def _shifted(values: Column, by: int, combine) -> Column:
-    """``combine(x[i], x[i + by])`` for all i where both exist. ``values`` has more than ``by`` elements."""
-    return F.zip_with(F.slice(values, 1, F.size(values) - by), F.slice(values, by + 1, F.size(values) - by), combine)
-
-
-def _over(values: Column, least: int, then) -> Column:
-    """``then(values)`` if there are more than ``least`` values, else ``values``."""
-    return F.when(F.size(values) > least, then(values)).otherwise(values)
+LAST = (1 << POSITION_BITS) - 1
 
 
 def with_winnow(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -35,20 +26,35 @@ def with_winnow(df: DataFrame, text: str, out: str) -> DataFrame:
     Positions count units from 0. A text of fewer than K units has one hash over all of them; one of
     no unit has none. A null text counts as empty. The steps are columns of their own, so that none is computed twice.
     """
-    units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0))
-    df = df.withColumn("__h", F.transform(units, lambda u: F.xxhash64(u).bitwiseAND(MASK)))
-    whole = F.array(F.xxhash64("__h").bitwiseAND(MASK))
-    two = _shifted(F.col("__h"), 1, lambda a, b: (a * FACTOR_1 + b).bitwiseAND(MASK))
-    df = df.withColumn("__g", F.when(F.size("__h") >= K, two).when(F.size("__h") > 0, whole).otherwise(F.col("__h")))
-    df = df.withColumn("__g", F.when(F.size("__h") >= K, _shifted(
-        F.col("__g"), 2, lambda a, b: (a * FACTOR_2 + b).bitwiseAND(MASK))).otherwise(F.col("__g")))
-    last = (1 << POSITION_BITS) - 1
-    df = df.withColumn("__m", F.transform("__g", lambda h, i: h * (1 << POSITION_BITS) + (last - i)))
-    for step in (1, 2, 4):  # minima of 2, 4, 8 values; a short text keeps the minimum of what there is
-        df = df.withColumn("__m", _over(F.col("__m"), step, lambda m, s=step: _shifted(m, s, lambda a, b: F.least(a, b))))
-    short = F.array(F.array_min("__m"))
-    kept = F.when((F.size("__g") > 0) & (F.size("__g") < W), short).otherwise(F.col("__m"))
-    return df.withColumn(out, F.array_distinct(kept)).drop("__h", "__g", "__m")
+    df = df.withColumn("__u", _units(F.coalesce(F.col(text), F.lit(""))))
+    uncut = F.size("__u") * LONGEST >= F.length(F.coalesce(F.col(text), F.lit("")))
+    cut = _units(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), rf"(\S{{{LONGEST}}})", "$1 "))
+    df = df.withColumn("__h", F.transform(F.when(uncut, F.col("__u")).otherwise(cut), lambda u: F.xxhash64(u).bitwiseAND(MASK)))
+    h, g, m = F.col("__h"), F.col("__g"), F.col("__m")
+    empty = F.array().cast("array<bigint>")
+    df = df.withColumn("__g", F.when(F.size(h) >= K, _neighbours(h, 1, lambda a, b: (a * FACTOR_1 + b).bitwiseAND(MASK))).otherwise(empty))
+    packed = F.transform(F.slice(g, 1, F.size(g) - 2), lambda a, i: _packed((a * FACTOR_2 + g[i + 2]).bitwiseAND(MASK), i))
+    whole = F.when(F.size(h) > 0, F.array(_packed(F.xxhash64(h).bitwiseAND(MASK), F.lit(0)))).otherwise(empty)
+    df = df.withColumn("__m", F.when(F.size(g) > 0, packed).otherwise(whole))
+    for step in (1, 2, 4):  # least of 2, 4, 8 neighbours, as far as there are so many
+        wider = _neighbours(m, step, lambda a, b: F.least(a, b))
+        df = df.withColumn("__m", F.when(F.size(m) > step, wider).otherwise(m))
+    # of fewer than W hashes, some minima are not of all: the least of them is
+    few = F.size(g).between(1, W + 1)
+    return df.withColumn(out, F.when(few, F.array(F.array_min(m))).otherwise(F.array_distinct(m))).drop("__u", "__h", "__g", "__m")
+
+
+def _units(text: Column) -> Column:
+    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+
+
+def _packed(value: Column, position: Column) -> Column:
+    return value * (1 << POSITION_BITS) + (LAST - position)
+
+
+def _neighbours(values: Column, by: int, combine) -> Column:
+    """``combine(x[i], x[i + by])`` for all i where both exist. ``values`` has more than ``by`` elements."""
+    return F.zip_with(F.slice(values, 1, F.size(values) - by), F.slice(values, by + 1, F.size(values) - by), combine)
 
 
 def hashes(kept: Column) -> Column:
@@ -93,25 +99,24 @@ def _previous(chunks: DataFrame, per_group: int = 4096) -> DataFrame:
     return inner.join(tops, "g").select("chunk", F.coalesce("below", "under", "all").alias("next_chunk"))
 
 
-def with_next(docs: DataFrame, columns: list[str], per_chunk: int = 64) -> DataFrame:
-    """Add ``next_c`` for each of ``columns`` of ``docs`` (id, text, ...): the values of the next row by falling id.
+def with_next(docs: DataFrame, columns: list[str], prepare, per_chunk: int = 512) -> DataFrame:
+    """``prepare`` applied to ``docs`` (id, text), and ``next_c`` for each of ``columns``: the values of the next row by falling id.
 
     After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt in chunks of
-    neighbouring ids and moved once; only the last row of each chunk is joined to the first of the next.
+    neighbouring ids and moved once. The first row of each chunk goes to the chunk before it as well: these
+    rows are found by a join of ids, with one id per chunk, that Spark broadcasts if they are few.
     """
     range_ = docs.agg(F.min("id").cast("double").alias("low"), F.max("id").cast("double").alias("high"), F.count("*").alias("n")).head()
     width = max(1.0, per_chunk * ((range_["high"] or 0.0) - (range_["low"] or 0.0) + 1) / max(1, range_["n"]))
     chunk = F.coalesce(F.floor((F.col("id").cast("double") - F.lit(range_["low"])) / width), F.lit(-1)).cast("long")
-    order = Window.partitionBy("chunk").orderBy(F.desc_nulls_last("id"), F.asc_nulls_first("text"))
     dealt = docs.withColumn("chunk", chunk)
-    moved = dealt.repartition("chunk").withColumn("row", F.struct(*columns)).withColumn("place", F.row_number().over(order))
-    moved = moved.withColumn("next", F.lead("row").over(order))
-    chunks = _previous(dealt.select("chunk").distinct())
-    tails = moved.where("next is null").drop("next").join(chunks, "chunk")
-    heads = moved.where("place = 1").select(F.col("chunk").alias("next_chunk"), F.col("row").alias("next"))
-    kept = [*docs.columns, "next"]
-    out = moved.where("next is not null").select(*kept).unionByName(tails.join(heads, "next_chunk").select(*kept))
-    return out.select(*docs.columns, *[F.col("next")[c].alias(f"next_{c}") for c in columns])
+    heads = dealt.groupBy("chunk").agg(F.max("id").alias("head"))
+    heads = heads.join(_previous(heads.select("chunk")).withColumnsRenamed({"chunk": "to", "next_chunk": "chunk"}), "chunk")
+    guests = docs.join(heads.select("head", "to"), F.col("id").eqNullSafe(F.col("head"))).select(*docs.columns, F.col("to").alias("chunk"))
+    both = prepare(dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
+    order = Window.partitionBy("chunk").orderBy("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
+    nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}
+    return both.withColumns(nexts).where("not guest").drop("guest", "chunk")
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,8 +127,8 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     document is its own next. Rows that repeat an id keep their rows; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = with_winnow(rows, "text", "kept").withColumn("fp", compact(F.col("kept"))).drop("kept")
-    pairs = with_next(rows, ["text", "fp"])
+    pairs = with_next(rows, ["text", "fp"],
+                      lambda df: with_winnow(df, "text", "kept").withColumn("fp", compact(F.col("kept"))).drop("kept"))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
     pairs = pairs.withColumn("edited", edited).withColumn("n_chars", F.length("text").cast("long")).drop("text", "next_text")
