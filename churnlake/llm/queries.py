@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from churnlake.llm import block_search, language, mixing, near_dedup, packing, pii, suffix_dedup, url_filter, winnowing
+from churnlake.llm import block_search, language, mixing, near_dedup, packing, pii, quote_chat, suffix_dedup, url_filter, winnowing
 from churnlake.llm.common import table
 
 
@@ -29,6 +29,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_quote_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order, without quotes."""
+    return quote_chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mixture takes."""
     return mixing.digest(mixing.mix(table(spark, sf_dir, "documents")))
@@ -61,6 +66,6 @@ def op10_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.nearest(table(spark, sf_dir, "embeddings"), lambda id_: id_ % 50 == 0)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_simhash_near_dedup, op3_suffix_dedup, op5_mixing, op6_packing, op7_winnowing,
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_simhash_near_dedup, op3_suffix_dedup, op4_quote_chat, op5_mixing, op6_packing, op7_winnowing,
                                   op8_pii, op9_language_id, op10_block_search)}
 ORACLE: dict[str, str] = {}
