@@ -22,7 +22,7 @@ from churnlake.llm.common import blocks, utf8
 
 ORDER = 3
 UNKNOWN = "und"
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 LETTER = r"\p{L}"
 
 
@@ -46,10 +46,7 @@ def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Texts laid end to end, each after three zero bytes, and where each begins. Zero bytes in a text become 1."""
     data, offsets = utf8(column)
     starts = offsets[:-1] + ORDER * np.arange(1, len(offsets))
-    out = np.zeros(len(data) + ORDER * len(starts) + 1, np.uint8)
-    position = np.arange(len(data)) + np.repeat(ORDER * np.arange(1, len(offsets)), np.diff(offsets))
-    out[position] = np.maximum(data, 1)
-    return out[:-1], starts
+    return np.insert(np.maximum(data, 1), np.repeat(offsets[:-1], ORDER), 0), starts
 
 
 def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -158,13 +155,14 @@ def _code_lengths(counts: list[np.ndarray]) -> np.ndarray:
 def code_lengths(model: Model, column: pa.Array) -> np.ndarray:
     """Exact code length in bits of each text (rows) in each language (columns), in blocks of the bytes."""
     data, starts = _padded(column)
-    symbols = np.where(data == 0, 0, model.symbol[data]).astype(np.int32)
+    symbol = model.symbol.astype(np.int32)
+    symbol[0] = 0
     size = model.bits.shape[1]
     flat = model.bits.reshape(-1, len(model.languages))
     begins = starts - ORDER  # a symbol is counted where its context begins
     out = np.zeros((len(starts), len(model.languages)))
-    for a, b in blocks(len(symbols) - ORDER, AT_ONCE):
-        part = symbols[a:b + ORDER]
+    for a, b in blocks(len(data) - ORDER, AT_ONCE):
+        part = symbol[data[a:b + ORDER]]
         context = (part[:-3] * size + part[1:-2]) * size + part[2:-1]
         cost = flat[model.row[context].astype(np.int64) * size + part[3:]]
         first, last = np.searchsorted(begins, a, side="right") - 1, np.searchsorted(begins, b)
