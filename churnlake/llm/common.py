@@ -34,6 +34,13 @@ def kind_of(df: DataFrame, column: str) -> str:
     return df.select(column).schema[0].dataType.simpleString()
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``stage``, then a hint to collect garbage: Spark deletes the shuffle files of plans that nobody holds."""
+    out = stage(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.head(1)
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks
+from churnlake.llm.common import blocks, settled
 from churnlake.session import stage
 
 GRAM = 32
@@ -292,25 +292,26 @@ def _profiles(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, t long, n_bytes long, sha256 string")
 
 
-def _cut_regions(texts: DataFrame, length: int) -> DataFrame:
-    """(anchor, t, first, region, r): the bytes of each region of ``texts`` (t, text, found) and a hash of them."""
+def _cut_regions(texts: DataFrame, length: int, hashed: bool) -> DataFrame:
+    """(anchor, t, place, r or region) of the regions ``found`` of ``texts`` (t, text, found): a hash of the bytes, or the bytes."""
 
     def run(batches):
         for batch in batches:
             for t, text, found in zip(*(batch.column(i) for i in range(3))):
                 data, rows = text.as_py().encode(), found.as_py()
-                first = [x["place"] // 128 for x in rows]
-                parts = [data[a:a + x["place"] % 128 + length - 1] for a, x in zip(first, rows)]
+                place = [x["place"] for x in rows]
+                parts = [data[p // 128:p // 128 + p % 128 + length - 1] for p in place]
+                last = pa.array([text_hash(p) for p in parts], pa.int64()) if hashed else pa.array(parts, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["anchor"] for x in rows]), pa.array([t.as_py()] * len(rows)), pa.array(first, pa.int64()),
-                     pa.array(parts, pa.binary()), pa.array([xxhash.xxh3_128_digest(p) for p in parts], pa.binary())],
-                    names=["anchor", "t", "first", "region", "r"])
+                    [pa.array([x["anchor"] for x in rows], pa.int64()), pa.array([t.as_py()] * len(rows), pa.int64()),
+                     pa.array(place, pa.int64()), last], names=["anchor", "t", "place", "r" if hashed else "region"])
 
-    return texts.select("t", "text", "found").mapInArrow(run, "anchor long, t long, first long, region binary, r binary")
+    return texts.select("t", "text", "found").mapInArrow(
+        run, f"anchor long, t long, place long, {'r long' if hashed else 'region binary'}")
 
 
 def _sort_shards(distinct: DataFrame, length: int) -> DataFrame:
-    """(t, first, end): runs of repeated strings within the shards of ``distinct`` (shard, id, first, t, region)."""
+    """(t, first, end): runs of repeated strings within the shards of ``distinct`` (shard, id, place, t, region)."""
 
     def run(batches):
         rows, shard = [], None
@@ -325,9 +326,9 @@ def _sort_shards(distinct: DataFrame, length: int) -> DataFrame:
             yield from finish(rows)
 
     def finish(rows):
-        for (_, _, first, t, _), flags in zip(rows, repeated([r[4] for r in rows], length)):
+        for (_, _, place, t, _), flags in zip(rows, repeated([r[4] for r in rows], length)):
             if flags.any():
-                found = _runs(flags)
+                found, first = _runs(flags), place // 128
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(found), t)), pa.array(first + found[:, 0]), pa.array(first + found[:, 1] - 1 + length)],
                     names=["t", "first", "end"])
@@ -382,28 +383,37 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if texts.where("a != b").head(1):
         raise RuntimeError("two texts share a 64-bit hash")
     texts = texts.select("t", F.col("f.id").alias("first_id"))
-    found = stage(anchors(rows, length), "anchors")
-    often = found.groupBy("anchor").count().where("count > 1").select("anchor")
-    listed = found.join(often, "anchor").groupBy("t").agg(F.collect_set(F.struct("anchor", "place")).alias("found"))
-    with_first = stage(listed.join(texts, "t"), "found")
-    with_text = profiled(rows).join(with_first, (F.col("h") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
-    once = with_text.dropDuplicates(["t"]) if _repeats(profiles) else with_text
-    cut = stage(_cut_regions(once, length), "regions").join(texts, "t")
-    # equal regions: the first stays for sorting, the others repeat as a whole
-    place = F.struct(F.col("first_id").isNotNull().alias("known"), F.col("first_id").alias("id"), F.col("t").alias("t"), F.col("first").alias("first"))
-    firsts = cut.groupBy("r").agg(F.min(place).alias("earliest"))
-    marked = stage(cut.join(firsts, "r").withColumn("stays", place.eqNullSafe(F.col("earliest"))), "marked")
-    whole = marked.where("not stays").select("t", "first", (F.col("first") + F.octet_length("region")).alias("end"))
-    left = marked.where("stays")
+    once = _repeats(profiles)
+
+    def first_texts(wanted: DataFrame) -> DataFrame:
+        """``wanted`` (t, first_id, ...) with the text of the first document of each text."""
+        out = profiled(rows).join(wanted, (F.col("h") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
+        return out.dropDuplicates(["t"]) if once else out
+
+    listed = lambda df: df.groupBy("t").agg(F.collect_set(F.struct("anchor", "place")).alias("found")).join(texts, "t")
+    found = anchors(rows, length)
+    often = settled(found.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
+    wanted = settled(listed(found.join(often, "anchor")), "wanted")
+    cut = settled(_cut_regions(first_texts(wanted), length, True), "regions").join(texts, "t")
+    # equal regions: all but the first repeat as a whole; anchors with one kind of region are done with that
+    earliest = F.struct(F.col("first_id").isNotNull().alias("known"), F.col("first_id").alias("id"), F.col("t").alias("t"),
+                        F.col("place").alias("place"))
+    firsts = cut.groupBy("anchor", "r").agg(F.min(earliest).alias("earliest"))
+    marked = cut.join(firsts, ["anchor", "r"]).withColumn("stays", earliest.eqNullSafe(F.col("earliest")))
+    marked = settled(marked.select("anchor", "t", "place", "stays"), "marked")
+    first = F.floor(F.col("place") / 128)
+    whole = marked.where("not stays").select("t", first.alias("first"), (first + F.col("place") % 128 + length - 1).alias("end"))
+    left = marked.where("stays").drop("stays")
+    mixed = left.groupBy("anchor").count().where("count > 1").select("anchor")
+    left = settled(listed(left.join(mixed, "anchor")), "left")
+    left = settled(_cut_regions(first_texts(left), length, False), "bytes").join(texts, "t")
     total = left.agg(F.sum(F.octet_length("region"))).head()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    dealt = left.select(F.pmod("anchor", F.lit(shards)).alias("shard"), F.col("first_id").alias("id"), "first", "t", "region")
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "t", "first")
+    dealt = left.select(F.pmod("anchor", F.lit(shards)).alias("shard"), F.col("first_id").alias("id"), "place", "t", "region")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "t", "place")
     parts = whole.union(_sort_shards(dealt, length)).groupBy("t").agg(F.collect_list(F.struct("first", "end")).alias("parts"))
-    parts = stage(parts.join(texts, "t"), "parts")
-    with_text = profiled(rows).join(parts, (F.col("h") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
-    once = with_text.dropDuplicates(["t"]) if _repeats(profiles) else with_text
-    done = stage(_removed(once), "removed")
+    parts = settled(parts.join(texts, "t"), "parts")
+    done = settled(_removed(first_texts(parts)), "removed")
     named = profiles.join(texts, "t").join(done, "t", "left")
     copy = ~F.col("id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= length)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())

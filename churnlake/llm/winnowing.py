@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlake.session import stage
+
 K, W = 4, 8
 LONGEST = 32
+MOST_BROADCAST = 200_000
 MASK = (1 << 32) - 1
 #: Factors of the polynomial, by one and by two units. Below 2**31, so that products with 32-bit hashes stay below 2**63.
 FACTOR_1, FACTOR_2 = 1_566_083_941, 1_812_433_253
@@ -104,7 +107,8 @@ def with_next(docs: DataFrame, columns: list[str], prepare, per_chunk: int = 512
 
     After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt in chunks of
     neighbouring ids and moved once. The first row of each chunk goes to the chunk before it as well: these
-    rows are found by a join of ids, with one id per chunk, that Spark broadcasts if they are few.
+    rows are found by a join of ids, with one id per chunk, broadcast if they are at most
+    MOST_BROADCAST pairs of numbers, else by an ordinary join.
     """
     range_ = docs.agg(F.min("id").cast("double").alias("low"), F.max("id").cast("double").alias("high"), F.count("*").alias("n")).head()
     width = max(1.0, per_chunk * ((range_["high"] or 0.0) - (range_["low"] or 0.0) + 1) / max(1, range_["n"]))
@@ -112,7 +116,10 @@ def with_next(docs: DataFrame, columns: list[str], prepare, per_chunk: int = 512
     dealt = docs.withColumn("chunk", chunk)
     heads = dealt.groupBy("chunk").agg(F.max("id").alias("head"))
     heads = heads.join(_previous(heads.select("chunk")).withColumnsRenamed({"chunk": "to", "next_chunk": "chunk"}), "chunk")
-    guests = docs.join(heads.select("head", "to"), F.col("id").eqNullSafe(F.col("head"))).select(*docs.columns, F.col("to").alias("chunk"))
+    heads = stage(heads.select("head", "to"), "heads")
+    if heads.count() <= MOST_BROADCAST:
+        heads = F.broadcast(heads)
+    guests = docs.join(heads, F.col("id").eqNullSafe(F.col("head"))).select(*docs.columns, F.col("to").alias("chunk"))
     both = prepare(dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
     order = Window.partitionBy("chunk").orderBy("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
     nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}
