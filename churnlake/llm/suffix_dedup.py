@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,7 +113,8 @@ def _columns(*lists: list[np.ndarray]) -> pa.RecordBatch:
 
 
 def text_hash(data: bytes) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(data)).view(np.int64))
+    value = xxhash.xxh3_64_intdigest(data)
+    return value - (1 << 64) if value >> 63 else value
 
 
 # -- suffix sorting -----------------------------------------------------------
@@ -129,9 +131,10 @@ class Queues:
     def push(self, suffixes: np.ndarray, first: np.ndarray) -> None:
         if not len(suffixes):
             return
-        order = np.argsort(first, kind="stable")
-        kinds, starts = np.unique(first[order], return_index=True)
-        for c, part in zip(kinds.tolist(), np.split(suffixes[order], starts[1:])):
+        order = np.argsort(first.astype(np.uint16), kind="stable")  # a radix sort for numbers this short
+        number = np.bincount(first)
+        kinds = np.flatnonzero(number)
+        for c, part in zip(kinds.tolist(), np.split(suffixes[order], np.cumsum(number[kinds])[:-1])):
             self.parts[c].append(part)
         self.held += len(suffixes)
         if self.held > self.in_memory:
@@ -297,14 +300,18 @@ def _cut_regions(texts: DataFrame, length: int, hashed: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for t, text, found in zip(*(batch.column(i) for i in range(3))):
-                data, rows = text.as_py().encode(), found.as_py()
-                place = [x["place"] for x in rows]
-                parts = [data[p // 128:p // 128 + p % 128 + length - 1] for p in place]
+            found, size = batch.column(2), np.array(pc.list_value_length(batch.column(2)).to_pylist(), np.int64)
+            flat = found.flatten()
+            anchor, places = flat.field("anchor"), flat.field("place").to_numpy(zero_copy_only=False)
+            ends = np.cumsum(size)
+            for i in range(len(batch)):
+                data, at = batch.column(1)[i].as_py().encode(), slice(ends[i] - size[i], ends[i])
+                first = places[at] // 128
+                parts = [data[a:b] for a, b in zip(first.tolist(), (first + places[at] % 128 + length - 1).tolist())]
                 last = pa.array([text_hash(p) for p in parts], pa.int64()) if hashed else pa.array(parts, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["anchor"] for x in rows], pa.int64()), pa.array([t.as_py()] * len(rows), pa.int64()),
-                     pa.array(place, pa.int64()), last], names=["anchor", "t", "place", "r" if hashed else "region"])
+                    [anchor[at.start:at.stop], batch.column(0).take(pa.array(np.full(size[i], i))), pa.array(places[at]), last],
+                    names=["anchor", "t", "place", "r" if hashed else "region"])
 
     return texts.select("t", "text", "found").mapInArrow(
         run, f"anchor long, t long, place long, {'r long' if hashed else 'region binary'}")
