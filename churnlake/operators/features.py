@@ -10,16 +10,12 @@ from churnlake.functions.values import flag
 from churnlake.operators.ordering import quantiles
 from churnlake.session import attach
 
-OPTIONAL_SERVICES = [
-    "internet_service", "online_security", "online_backup", "tech_support",
-    "streaming_tv", "streaming_movies", "phone_service", "multiple_lines", "device_protection",
-]
 UNPROTECTED = ["No", "No internet service"]
 
 
 def with_service_columns(df: DataFrame) -> DataFrame:
     """Service columns a feed lacks, as NULL."""
-    return df.withColumns({c: F.lit(None).cast("string") for c in OPTIONAL_SERVICES if c not in df.columns})
+    return df.withColumns({c: F.lit(None).cast("string") for c in V.SERVICE_COLUMNS if c not in df.columns})
 
 
 def billing_features(df: DataFrame, variant: str = "sql") -> DataFrame:

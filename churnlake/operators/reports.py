@@ -113,7 +113,7 @@ def quantile_table(df: DataFrame, column: str, probabilities: list[float]) -> Da
 
 def boxplot_stats(df: DataFrame, column: str = "monthly_charges", by: str = "churn",
                   groups: tuple[str, ...] = ("No", "Yes")) -> DataFrame:
-    """Quartiles, whiskers (last value within 1.5 IQR) and outliers per group."""
+    """Quartiles, whiskers (last value within 1.5 IQR) and outliers per group; no row for a group without values."""
     value = F.col(column).cast("double")
     result = None
     for g in groups:
@@ -127,6 +127,9 @@ def boxplot_stats(df: DataFrame, column: str = "monthly_charges", by: str = "chu
             F.min(F.when(inside, value)).alias("whisker_low"), F.max(F.when(inside, value)).alias("whisker_high"),
             rows_where(~inside).alias("outliers"))
         result = row if result is None else result.unionByName(row)
+    if result is None:
+        numbers = ", ".join(f"{c} double" for c in ("q1", "median", "q3", "whisker_low", "whisker_high"))
+        return df.sparkSession.createDataFrame([], f"{by} string, {numbers}, outliers bigint")
     return result
 
 

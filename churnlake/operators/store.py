@@ -24,10 +24,12 @@ def write_feature_rows(rows: DataFrame, path: str) -> None:
 
 
 def latest_features(store: DataFrame, as_of: Column, key: str = "customer_id") -> DataFrame:
-    """Newest unexpired value per customer and feature at ``as_of``.
+    """Newest unexpired value per customer and feature at ``as_of``; of a store by day, later folders are not read.
 
     ``max_by`` combines on the map side, whatever the number of versions.
     """
+    if "computed_on" in store.columns:
+        store = store.filter(F.col("computed_on") <= F.to_date(as_of))
     valid = store.filter((F.col("computed_at") <= as_of) & (F.col("expires_at").isNull() | (F.col("expires_at") > as_of)))
     newest = F.max_by(F.struct("feature_value", "feature_type", "computed_at"), "computed_at")
     return valid.groupBy(key, "feature_name").agg(newest.alias("n")).select(key, "feature_name", "n.*")

@@ -38,15 +38,19 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
     return reader.load()
 
 
-def load_or_fallback(spark: SparkSession, table: str, path: str, force_table: bool = False) -> DataFrame:
-    """The table if there is one, else the file; with ``force_table`` a missing table is an error."""
-    from churnlake.sources.files import load_customers
+def load_or_fallback(spark: SparkSession, table: str, path: str, force_table: bool = False,
+                     order_column: str | None = None) -> DataFrame:
+    """The table if there is one, else the file; with ``force_table`` a missing table is an error.
+
+    Table rows get ``ingest_seq`` as rows of files do.
+    """
+    from churnlake.sources.files import load_customers, with_order
 
     if spark.catalog.tableExists(table):
-        return spark.table(table)
+        return with_order(spark.table(table), order_column)
     if force_table:
         raise RuntimeError(f"Table {table} was demanded but does not exist.")
-    return load_customers(spark, path)
+    return load_customers(spark, path, order_column=order_column)
 
 
 def reload_table(df: DataFrame, folder: str, rows_per_file: int = 5_000_000) -> DataFrame:
