@@ -14,6 +14,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,9 @@ WORDS_KEPT = 400_000
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes, for a tokenizer that lower-cases and splits words.
 
-    The tokenizer encodes every word (pre-token) by itself, so ids are kept by word. Texts with characters
-    outside of Latin letters, digits, usual punctuation and white space, or with ``<|``, go to the tokenizer whole.
+    The tokenizer encodes every word (pre-token) by itself, so ids are kept by word; the new words of a text
+    are encoded in one call. Texts with characters outside of Latin letters, digits, usual
+    punctuation and white space, or with ``<|``, go to the tokenizer whole.
     """
 
     def __init__(self, definition: str):
@@ -44,24 +46,31 @@ class Encoder:
         numbers = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "N")
         self.other = re.compile(rf"[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]|<\||[İŉ]")
         self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
-        encode = self._encode
+        self.kept: dict[str, bytes] = {}
 
-        class Kept(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= WORDS_KEPT:
-                    self.clear()
-                self[word] = ids = encode(word)
-                return ids
-
-        self.kept = Kept()
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _learn(self, words: list[str]) -> None:
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(words)))).tolist()
+        self.kept.update(zip(words, (ids[a:b] for a, b in zip([0, *ends], ends))))
 
     def __call__(self, text: str) -> bytes:
         if self.other.search(text):
-            return self._encode(text)
-        return b"".join(map(self.kept.__getitem__, self.words.findall(text.lower())))
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        words = self.words.findall(text.lower())
+        try:
+            return b"".join(map(self.kept.__getitem__, words))
+        except KeyError:
+            if len(self.kept) >= WORDS_KEPT:
+                self.kept.clear()
+            self._learn(list(set(words).difference(self.kept)))
+            return b"".join(map(self.kept.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def encoder_of(definition: str) -> Encoder:
+    """One encoder in each Python worker, so that later tasks find the words that earlier ones kept."""
+    return Encoder(definition)
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
@@ -72,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder(definition.value)
+        encoder = encoder_of(definition.value)
         for batch in batches:
             ids, rows = [], []
             for i, text in enumerate(batch.column(1)):
