@@ -405,13 +405,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # equal regions: all but the first repeat as a whole; anchors with one kind of region are done with that
     earliest = F.struct(F.col("first_id").isNotNull().alias("known"), F.col("first_id").alias("id"), F.col("t").alias("t"),
                         F.col("place").alias("place"))
-    firsts = cut.groupBy("anchor", "r").agg(F.min(earliest).alias("earliest"))
+    # (tables that a join reads are stored: AQE splits a hot key only where both sides come from a shuffle of their own)
+    firsts = settled(cut.groupBy("anchor", "r").agg(F.min(earliest).alias("earliest")), "firsts")
     marked = cut.join(firsts, ["anchor", "r"]).withColumn("stays", earliest.eqNullSafe(F.col("earliest")))
     marked = settled(marked.select("anchor", "t", "place", "stays"), "marked")
     first = F.floor(F.col("place") / 128)
     whole = marked.where("not stays").select("t", first.alias("first"), (first + F.col("place") % 128 + length - 1).alias("end"))
     left = marked.where("stays").drop("stays")
-    mixed = left.groupBy("anchor").count().where("count > 1").select("anchor")
+    mixed = settled(left.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
     left = settled(listed(left.join(mixed, "anchor")), "left")
     left = settled(_cut_regions(first_texts(left), length, False), "bytes").join(texts, "t")
     total = left.agg(F.sum(F.octet_length("region"))).head()[0] or 0
@@ -421,7 +422,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = whole.union(_sort_shards(dealt, length)).groupBy("t").agg(F.collect_list(F.struct("first", "end")).alias("parts"))
     parts = settled(parts.join(texts, "t"), "parts")
     done = settled(_removed(first_texts(parts)), "removed")
-    named = profiles.join(texts, "t").join(done, "t", "left")
+    named = profiles.join(settled(texts.join(done, "t", "left"), "by-text"), "t")
     copy = ~F.col("id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= length)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     zero = F.lit(0).cast("long")
