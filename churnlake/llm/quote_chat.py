@@ -134,7 +134,8 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     rows = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
                            F.xxhash64(role_col, text_col).alias("tie"), F.col(text_col).cast("string").alias("text"))
     one = F.lit(1).cast("long")
-    found = running_start(_parse(rows).withColumn("one", one), ["conv"], ["turn", "tie"], "one", "rank").drop("one")
+    parsed_rows = stage(_parse(rows), "parsed")  # dealing by range reads its input twice
+    found = running_start(parsed_rows.withColumn("one", one), ["conv"], ["turn", "tie"], "one", "rank").drop("one")
     found = stage(found, "messages")
     linked = stage(links(found), "links")
     quotes = F.size(F.filter("passages", lambda p: p["level"] > 0)).cast("long")
