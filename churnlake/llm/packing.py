@@ -26,7 +26,8 @@ from churnlake.session import stage
 
 WINDOW = 4096
 END_ID = 2
-WORDS_KEPT = 400_000
+#: At about 250 bytes a word; a worker forgets all words beyond.
+WORDS_KEPT = 1_000_000
 
 
 class Encoder:
