@@ -19,9 +19,17 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+#: At most 34 letters and digits; which prefix of them is the number, ``_iban_end`` decides.
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+#: Letters and digits of an IBAN by country.
+IBAN_LENGTH = {k: int(n) for k, n in (x.split(":") for x in (
+    "AD:24 AE:23 AL:28 AT:20 AZ:28 BA:20 BE:16 BG:22 BH:22 BI:27 BR:29 BY:28 CH:21 CR:22 CY:28 CZ:24 DE:22 DJ:27 DK:18 DO:28 EE:20 EG:29 "
+    "ES:24 FI:18 FK:18 FO:18 FR:27 GB:22 GE:22 GI:23 GL:18 GR:27 GT:28 HN:28 HR:21 HU:28 IE:22 IL:23 IQ:23 IS:26 IT:27 JO:30 KW:30 KZ:20 "
+    "LB:28 LC:32 LI:21 LT:20 LU:20 LV:21 LY:25 MC:27 MD:24 ME:22 MK:19 MN:20 MR:27 MT:31 MU:30 NI:28 NL:18 NO:15 OM:23 PK:24 PL:28 PS:29 "
+    "PT:25 QA:29 RO:24 RS:22 RU:33 SA:24 SC:31 SD:18 SE:24 SI:19 SK:24 SM:27 SO:23 ST:25 SV:28 TL:23 TN:24 TR:26 UA:29 VA:22 VG:24 XK:20 "
+    "YE:30").split())}
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
-SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_/+=-]{20,200}+")
+SECRET = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z0-9_/+=-]{20,}+")
 
 #: Words that raise or lower the score of a span of the kind, looked for within CONTEXT characters.
 CONTEXT = 48
@@ -92,10 +100,27 @@ def _base(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", *m.span()
 
 
+def _iban_end(text: str, m: re.Match) -> int | None:
+    """End of the longest prefix of the candidate that ends at a word boundary, has its country's length and passes mod 97.
+
+    Of a country without a known length, any prefix of 15 characters or more will do.
+    """
+    ends = [i + 1 for i in range(m.start(), m.end()) if text[i] != " "]
+    wanted = IBAN_LENGTH.get(m.group()[:2])
+    for n in range(len(ends), 14, -1):
+        after = text[ends[n - 1]:ends[n - 1] + 1]
+        if n == (wanted or n) and not (after.isascii() and after.isalnum()) and mod97(text[m.start():ends[n - 1]].replace(" ", "")):
+            return ends[n - 1]
+    return None
+
+
 def _more(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in IBAN.finditer(text):
-        if 15 <= len(compact := m.group().replace(" ", "")) <= 34 and mod97(compact):
-            yield "iban", *m.span()
+    m = IBAN.search(text)
+    while m:
+        end = _iban_end(text, m)
+        if end:
+            yield "iban", m.start(), end
+        m = IBAN.search(text, end or m.start() + 1)
     for m in SSN.finditer(text):
         yield "ssn", *m.span()
     for m in SECRET.finditer(text):

@@ -214,6 +214,18 @@ def test_personal_data_by_context_and_checksum():
     assert pii.find("a" * 200_000 + "@") == [] and pii.find("1" * 200_000) == []
 
 
+def test_personal_data_before_capitals_and_beyond_200_characters():
+    iban, short = "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819"
+    for number, after in [(iban, " Please pay"), (iban, " COBADEFFXXX"), (iban, " 500.00 EUR"), (short, " EUR 500"), (short, " BIC NWBKGB2L"), (iban, "")]:
+        text = f"IBAN {number}{after}"
+        assert [(s.kind, s.start, s.end) for s in pii.find(text)] == [("iban", 5, 5 + len(number))], text
+        assert pii.mask(text, pii.find(text)) == f"IBAN [IBAN]{after}"
+    assert pii.mask(f"AB12 CDEF GHIJ {iban} X", pii.find(f"AB12 CDEF GHIJ {iban} X")) == "AB12 CDEF GHIJ [IBAN] X"
+    assert pii.find("IBAN DE88 3704 0044 0532 0130 00 Please pay") == []
+    token = "".join(random.Random(2).choices("abcdefABCDEF0123456789", k=320))
+    assert pii.mask(f"token = {token} end", pii.find(f"token = {token} end")) == "token = [SECRET] end"
+
+
 def test_language(odd, none, docs):
     found = language.predict(docs, language.learn(docs), keep=("doc_id", "lang")).withColumn("out", language.held_out()).collect()
     out = [r for r in found if r.out]
