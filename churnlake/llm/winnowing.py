@@ -15,7 +15,8 @@ from churnlake.session import stage
 
 K, W = 4, 8
 LONGEST = 32
-MOST_BROADCAST = 200_000
+#: Ranges that rows are dealt to at most, and the characters of the text that part equal ids.
+MOST_RANGES, PREFIX = 4096, 32
 MASK = (1 << 32) - 1
 #: Factors of the polynomial, by one and by two units. Below 2**31, so that products with 32-bit hashes stay below 2**63.
 FACTOR_1, FACTOR_2 = 1_566_083_941, 1_812_433_253
@@ -90,36 +91,51 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.select(F.col("id").alias(id_col), hashes(F.col("kept")).alias("hashes"), positions(F.col("kept")).alias("positions"))
 
 
-def _previous(chunks: DataFrame, per_group: int = 4096) -> DataFrame:
-    """(chunk, next_chunk): the next smaller chunk of each, and the largest of all for the smallest.
+def _starts(keys: DataFrame, ranges: int) -> DataFrame:
+    """(id, prefix) of the first row of each of about ``ranges`` equal ranges of ``keys`` (id, prefix), but the first range's."""
+    dealt = keys.repartitionByRange(ranges, F.desc_nulls_last("id"), "prefix").withColumn("range", F.spark_partition_id())
+    dealt = stage(dealt, "ranges")
+    heads = dealt.groupBy("range").agg(F.max("id").alias("head")).withColumnRenamed("range", "of")
+    firsts = dealt.join(F.broadcast(heads), (F.col("range") == F.col("of")) & F.col("id").eqNullSafe(F.col("head")))
+    firsts = firsts.groupBy("range", "id").agg(F.min("prefix").alias("prefix"))
+    lowest = heads.agg(F.min("of")).head()[0]
+    return firsts.where(F.col("range") != F.lit(lowest)).orderBy("range").select("id", "prefix")
 
-    Chunks are looked up within groups of their numbers; only the groups' largest chunks are ordered in one task.
-    """
-    grouped = chunks.withColumn("g", F.floor(F.col("chunk") / per_group))
-    inner = grouped.withColumn("below", F.lag("chunk").over(Window.partitionBy("g").orderBy("chunk")))
-    tops = grouped.groupBy("g").agg(F.max("chunk").alias("top"))
-    tops = tops.select("g", F.lag("top").over(Window.orderBy("g")).alias("under"), F.max("top").over(Window.partitionBy()).alias("all"))
-    return inner.join(tops, "g").select("chunk", F.coalesce("below", "under", "all").alias("next_chunk"))
+
+def _chunk(starts: list, kind: str) -> Column:
+    """How many of ``starts`` are at or before the row: first among every sixty-fourth of them, then among the next ones."""
+    if not starts:
+        return F.lit(0).cast("long")
+    id_, prefix = F.col("id"), F.coalesce(F.substring("text", 1, PREFIX), F.lit(""))
+
+    def reached(start: Column) -> Column:
+        later = F.coalesce(id_ < start["id"], F.lit(False)) | (id_.isNull() & start["id"].isNotNull())
+        return later | (id_.eqNullSafe(start["id"]) & (prefix >= start["prefix"]))
+
+    def listed(some: list) -> Column:
+        return F.array(*[F.struct(F.lit(r["id"]).cast(kind).alias("id"), F.lit(r["prefix"]).alias("prefix")) for r in some])
+
+    blocks = [starts[n:n + 64] for n in range(0, len(starts), 64)]
+    block = F.greatest(F.size(F.filter(listed([b[0] for b in blocks]), reached)), F.lit(1))
+    within = F.size(F.filter(F.element_at(F.array(*[listed(b) for b in blocks]), block), reached))
+    return ((block - 1) * 64 + within).cast("long")
 
 
 def with_next(docs: DataFrame, columns: list[str], prepare, per_chunk: int = 512) -> DataFrame:
     """``prepare`` applied to ``docs`` (id, text), and ``next_c`` for each of ``columns``: the values of the next row by falling id.
 
-    After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt in chunks of
-    neighbouring ids and moved once. The first row of each chunk goes to the chunk before it as well: these
-    rows are found by a join of ids, with one id per chunk, broadcast if they are at most
-    MOST_BROADCAST pairs of numbers, else by an ordinary join.
+    After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt by rank: starts of equal
+    ranges of (id, first PREFIX characters) are found on these alone, then each row is moved once, to its range. The
+    first row of each range goes to the range before it as well. Rows that agree in id and these characters share a range.
     """
-    range_ = docs.agg(F.min("id").cast("double").alias("low"), F.max("id").cast("double").alias("high"), F.count("*").alias("n")).head()
-    width = max(1.0, per_chunk * ((range_["high"] or 0.0) - (range_["low"] or 0.0) + 1) / max(1, range_["n"]))
-    chunk = F.coalesce(F.floor((F.col("id").cast("double") - F.lit(range_["low"])) / width), F.lit(-1)).cast("long")
-    dealt = docs.withColumn("chunk", chunk)
-    heads = dealt.groupBy("chunk").agg(F.max("id").alias("head"))
-    heads = heads.join(_previous(heads.select("chunk")).withColumnsRenamed({"chunk": "to", "next_chunk": "chunk"}), "chunk")
-    heads = stage(heads.select("head", "to"), "heads")
-    if heads.count() <= MOST_BROADCAST:
-        heads = F.broadcast(heads)
-    guests = docs.join(heads, F.col("id").eqNullSafe(F.col("head"))).select(*docs.columns, F.col("to").alias("chunk"))
+    keys = docs.select("id", F.coalesce(F.substring("text", 1, PREFIX), F.lit("")).alias("prefix"))
+    ranges = min(MOST_RANGES, docs.count() // per_chunk)
+    starts = _starts(keys, ranges).collect() if ranges > 1 else []
+    dealt = docs.withColumn("chunk", _chunk(starts, docs.schema["id"].dataType.simpleString()))
+    heads = dealt.groupBy("chunk").agg(F.max("id").alias("head")).withColumnRenamed("chunk", "of")
+    first = dealt.join(F.broadcast(heads), (F.col("chunk") == F.col("of")) & F.col("id").eqNullSafe(F.col("head")))
+    first = first.groupBy("chunk", "id").agg(F.min(F.struct("text")).alias("first"))
+    guests = stage(first.select("id", "first.text", F.pmod(F.col("chunk") - 1, F.lit(len(starts) + 1)).alias("chunk")), "guests")
     both = prepare(dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
     order = Window.partitionBy("chunk").orderBy("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
     nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}

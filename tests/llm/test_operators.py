@@ -386,6 +386,25 @@ def test_next_over_gaps_in_ids(spark):
     assert {r.id: r.next_text for r in got.collect()} == {i: f"text {after[i]}" for i in ids}
 
 
+@pytest.mark.parametrize("shape", ["far id", "repeated id", "null ids"])
+def test_next_deals_by_rank(spark, shape):
+    """No chunk takes more than its share, and a repeated id is not moved twice."""
+    far = {"far id": 10**15, "repeated id": 7, "null ids": None}[shape]
+    rows = [(i, f"text {i}") for i in range(4000)] + [(far, f"far {n:04}") for n in range(1 if shape == "far id" else 2000)]
+    df = stage(spark.createDataFrame(rows, "id long, text string"), "ranked")
+    sizes = []
+
+    def prepare(x):
+        sizes.extend(x.groupBy("chunk").count().collect())
+        return x
+
+    got = winnowing.with_next(df, ["text"], prepare, per_chunk=64).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert {(r.id, r.text): r.next_text for r in got} == {r: order[(n + 1) % len(order)][1] for n, r in enumerate(order)}
+    assert len(got) == len(rows) and len(sizes) > 40 and max(r["count"] for r in sizes) < 400
+    assert sum(r["count"] for r in sizes) == len(rows) + len(sizes)
+
+
 def test_url_rules(spark):
     from churnlake.llm.queries import RULES
     urls = [None, "", "no scheme.com/", "http://com", "https://A.Example.COM/en/x?y#z", "http://www.example.com/en/1", "http://x.www.example.com/en/",
