@@ -1,7 +1,8 @@
 """Document fingerprints by winnowing. DataFrame functions only.
 
-A text is cut into units at blanks and line feeds; in a text whose units have more than 32 characters
-on average, words are also cut after every 32. A polynomial hash runs over every K consecutive units, and of every W consecutive hashes the least
+A text is cut into units at blanks and line feeds. Each character of a script written without blanks is a unit
+of its own, and so is each character of a word of more than 64, so that units never depend on what else is in
+the text or where a run starts. A polynomial hash runs over every K consecutive units, and of every W consecutive hashes the least
 is kept, the rightmost of equal ones, with its position. Two texts that share W + K - 1
 consecutive units therefore share a fingerprint, and nothing shorter than K units counts.
 """
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from churnlake.session import stage
 
 K, W = 4, 8
-LONGEST = 32
+LONGEST = 64
+#: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = "([\\u0e00-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3040-\\u30ff\\u3400-\\u4dbf\\u4e00-\\u9fff\\uf900-\\ufaff\\x{20000}-\\x{3ffff}])"
 #: Ranges that rows are dealt to at most, and the characters of the text that part equal ids.
 MOST_RANGES, PREFIX = 4096, 32
 MASK = (1 << 32) - 1
@@ -31,9 +34,9 @@ def with_winnow(df: DataFrame, text: str, out: str) -> DataFrame:
     no unit has none. A null text counts as empty. The steps are columns of their own, so that none is computed twice.
     """
     df = df.withColumn("__u", _units(F.coalesce(F.col(text), F.lit(""))))
-    uncut = F.size("__u") * LONGEST >= F.length(F.coalesce(F.col(text), F.lit("")))
-    cut = _units(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), rf"(\S{{{LONGEST}}})", "$1 "))
-    df = df.withColumn("__h", F.transform(F.when(uncut, F.col("__u")).otherwise(cut), lambda u: F.xxhash64(u).bitwiseAND(MASK)))
+    letters = F.flatten(F.transform("__u", lambda u: F.when(F.length(u) > LONGEST, F.split(u, "")).otherwise(F.array(u))))
+    cut = F.when(F.exists("__u", lambda u: F.length(u) > LONGEST), letters).otherwise(F.col("__u"))
+    df = df.withColumn("__h", F.transform(cut, lambda u: F.xxhash64(u).bitwiseAND(MASK)))
     h, g, m = F.col("__h"), F.col("__g"), F.col("__m")
     empty = F.array().cast("array<bigint>")
     df = df.withColumn("__g", F.when(F.size(h) >= K, _neighbours(h, 1, lambda a, b: (a * FACTOR_1 + b).bitwiseAND(MASK))).otherwise(empty))
@@ -49,7 +52,8 @@ def with_winnow(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def _units(text: Column) -> Column:
-    return F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "")
+    spaced = F.when(F.octet_length(text) > F.length(text), F.regexp_replace(text, UNSPACED, " $1 ")).otherwise(text)
+    return F.array_remove(F.split(F.replace(spaced, F.lit("\n"), F.lit(" ")), " "), "")
 
 
 def _packed(value: Column, position: Column) -> Column:

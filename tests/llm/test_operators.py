@@ -377,6 +377,23 @@ def test_winnowing(request, name):
             assert r.fingerprint == ",".join(f"{v:08x}" for v in hashes)
 
 
+def test_units_of_unspaced_text(spark):
+    """Half of an unspaced text is found again after spaced text, and a shifted run is found as well."""
+    rng = random.Random(6)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(3000))
+    code = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=3000))
+    rows = [(n, text[:1500] + " " + prose(7, 400), "xyzab" + text, text) for n, text in enumerate((han, code))]
+    df = spark.createDataFrame(rows, "id long, half string, shifted string, text string")
+    for c in ("half", "shifted", "text"):
+        df = winnowing.with_winnow(df, c, f"k_{c}").withColumn(f"k_{c}", winnowing.hashes(F.col(f"k_{c}")))
+    for r in df.collect():
+        known = set(r.k_text)
+        assert len(known & set(r.k_half)) > 0.45 * len(known) and len(known & set(r.k_shifted)) > 0.95 * len(known)
+    emoji = spark.createDataFrame([("a\U00020000b \u0e01\u0e34 " + "x\U0001F600" * 40,)], "text string")
+    got = winnowing._units(F.col("text"))
+    assert emoji.select(got.alias("u")).head().u == ["a", "\U00020000", "b", "\u0e01", "\u0e34", "x\U0001F600" * 40]
+
+
 def test_next_over_gaps_in_ids(spark):
     ids = [random.Random(1).randrange(10**15) for _ in range(3000)] + list(range(2000))
     df = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
