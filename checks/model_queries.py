@@ -93,7 +93,7 @@ def feature_importance(s, d):
 def permutation_importance(s, d):
     data = _data(s, d)
     model = T.fit(T.prepare(data.train, False), "Logistic Regression", SMALL["Logistic Regression"])
-    rows = T.permutation_importance(model, data.test, data.names, ["tenure", "contract_mtm", "is_new_customer"])
+    rows = T.permutation_importance(model, data.test, data.names)
     return s.createDataFrame(rows, "feature string, auc_loss double")
 
 

@@ -27,3 +27,7 @@ def test_runs(spark, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 150 and len(df.columns) == 16
+
+
+def test_permutation_importance_is_of_all_features(spark):
+    assert QUERIES["permutation_importance"](spark, SMALL).count() > 50
