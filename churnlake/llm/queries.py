@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from churnlake.llm import block_search, language, mixing, near_dedup, packing, pii, quote_chat, suffix_dedup, url_filter, winnowing
+from churnlake.llm import (ball_search, block_search, language, mixing, near_dedup, packing, pii, prefix_trie, quality_rules, quote_chat,
+                           suffix_dedup, url_filter, winnowing)
 from churnlake.llm.common import table
 
 
@@ -66,6 +67,22 @@ def op10_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_search.nearest(table(spark, sf_dir, "embeddings"), lambda id_: id_ % 50 == 0)
 
 
+def op11_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of highest score for every benchmark item."""
+    return ball_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failure bits and verdict of all documents."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What all conversations share at their beginning."""
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_simhash_near_dedup, op3_suffix_dedup, op4_quote_chat, op5_mixing, op6_packing, op7_winnowing,
-                                  op8_pii, op9_language_id, op10_block_search)}
-ORACLE: dict[str, str] = {}
+                                  op8_pii, op9_language_id, op10_block_search, op11_ball_search, op12_quality_rules, op13_prefix_trie)}
+ORACLE: dict[str, str] = {"op11_ball_search": ball_search.RANK_SQL, "op12_quality_rules": quality_rules.JUDGE_SQL,
+                          "op13_prefix_trie": prefix_trie.TRIE_SQL}
