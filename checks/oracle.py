@@ -429,4 +429,19 @@ def oracle() -> dict[str, str]:
         SELECT label, TRUE, (SELECT MAX(n) - MIN(n) FROM sizes) FROM sizes WHERE n = (SELECT MIN(n) FROM sizes))""").replace(
         " SELECT label, synthetic", """, sizes AS (SELECT CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label,
         CAST(FLOOR(0.8::DOUBLE * COUNT(*) + 0.5) AS BIGINT) AS n FROM customers GROUP BY 1) SELECT label, synthetic""", 1)
+    tested = """FROM (SELECT customer_id, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label, ROW_NUMBER() OVER (PARTITION BY coalesce(churn, 'No')
+        ORDER BY MD5(CONCAT('42|', customer_id)), customer_id) > FLOOR(0.8::DOUBLE * COUNT(*) OVER (PARTITION BY coalesce(churn, 'No')) + 0.5) AS tested
+        FROM customers) WHERE tested"""
+    names = ["Logistic Regression", "Random Forest", "Gradient Boosting", "Weighted GBT", "Column-Sampled GBT"]
+    out["model_checks"] = cust(f"""SELECT model_name, test_rows, test_churned, TRUE AS accuracy_follows, TRUE AS scores_are_probabilities,
+        TRUE AS better_than_chance FROM (SELECT COUNT(*) AS test_rows, SUM(label)::BIGINT AS test_churned {tested}), (SELECT UNNEST({names}) AS model_name)""")
+    out["explanation_checks"] = cust(f"SELECT customer_id, TRUE AS adds_up, TRUE AS in_order, TRUE AS importances_add_up {tested}")
+    out["resumed_model"] = cust(f"SELECT customer_id, label, TRUE AS same_score {tested}")
+    out["smote_uses"] = cust("""SELECT uses, customers, TRUE AS within_ranges FROM (
+        SELECT m.n AS few, f.n - m.n AS needed FROM (SELECT CAST(FLOOR(0.8::DOUBLE * COUNT(*) + 0.5) AS BIGINT) AS n FROM customers WHERE churn = 'Yes') m,
+          (SELECT CAST(FLOOR(0.8::DOUBLE * COUNT(*) + 0.5) AS BIGINT) AS n FROM customers WHERE churn IS DISTINCT FROM 'Yes') f),
+        LATERAL (SELECT needed // few AS uses, few - needed % few AS customers UNION ALL SELECT needed // few + 1, needed % few)
+        WHERE uses > 0 AND customers > 0""")
+    out["run_history"] = _with("""SELECT run_id, model_name, accuracy, test_size, CONCAT('202406', LPAD(CAST(CAST(SUBSTR(run_id, 5) AS INT) + 1 AS VARCHAR), 2, '0'), '.000000') AS model_version,
+        CAST(ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY accuracy DESC, roc_auc DESC, model_name) AS INT) AS leaderboard_rank FROM performance""", "performance")
     return out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from churnlake.functions import values as V
 from churnlake.operators.ordering import By, ROWS_PER_BUCKET, quantiles, running_totals
+from churnlake.session import stage
 
 MODEL_THRESHOLDS = (20, 95)       # fixed values: percent, both ends included
 ENSEMBLE_THRESHOLDS = (20, 80)
@@ -42,22 +43,25 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.orderBy(F.col("accuracy").desc(), "threshold").limit(1)
 
 
-def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    return scored.groupBy(F.col(score).alias("score")).agg(
+def score_counts(scored: DataFrame, score: str = "score", label: str = "label", group: str | None = None) -> DataFrame:
+    return scored.groupBy(*([group] if group else []), F.col(score).alias("score")).agg(
         count_where(F.col(label) == 1).alias("pos"), count_where(F.col(label) == 0).alias("neg"))
 
 
 def cumulative_counts(scored: DataFrame, score: str = "score", label: str = "label",
-                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """True and false positives at every distinct score as threshold, highest first."""
-    return running_totals(score_counts(scored, score, label), By("score", descending=True),
-                          {"tp": "pos", "fp": "neg"}, rows_per_bucket)
+                      rows_per_bucket: int = ROWS_PER_BUCKET, group: str | None = None) -> DataFrame:
+    """True and false positives at every distinct score as threshold, highest first, in all or per ``group``.
+
+    The counts per score are stored before they are ranged, so the scores are computed once.
+    """
+    counts = stage(score_counts(scored, score, label, group), "score-counts")
+    return running_totals(counts, By("score", descending=True), {"tp": "pos", "fp": "neg"}, rows_per_bucket, group)
 
 
 def roc_curve(scored: DataFrame, score: str = "score", label: str = "label",
               rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     curve = cumulative_counts(scored, score, label, rows_per_bucket)
-    totals = scored.agg(count_where(F.col(label) == 1).alias("p"), count_where(F.col(label) == 0).alias("n")).first()
+    totals = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
     return curve.select(F.col("score").alias("threshold"),
                         V.ratio(F.col("fp"), F.lit(totals["n"])).alias("fpr"),
                         V.ratio(F.col("tp"), F.lit(totals["p"])).alias("tpr"))
@@ -66,23 +70,24 @@ def roc_curve(scored: DataFrame, score: str = "score", label: str = "label",
 def precision_recall_curve(scored: DataFrame, score: str = "score", label: str = "label",
                            rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     curve = cumulative_counts(scored, score, label, rows_per_bucket)
-    positives = scored.agg(count_where(F.col(label) == 1).alias("p")).first()["p"]
+    positives = curve.agg(F.sum("pos").alias("p")).first()["p"]
     return curve.select(F.col("score").alias("threshold"),
                         V.ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                         V.ratio(F.col("tp"), F.lit(positives)).alias("recall"))
 
 
 def auc(scored: DataFrame, score: str = "score", label: str = "label",
-        rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Trapezoid area under the ROC curve, tied scores taken together.
+        rows_per_bucket: int = ROWS_PER_BUCKET, group: str | None = None) -> DataFrame:
+    """Trapezoid area under the ROC curve, tied scores taken together; one row, or one per ``group``.
 
     Twice the area times P times N is a whole number, summed as a decimal.
     """
-    curve = cumulative_counts(scored, score, label, rows_per_bucket)
+    curve = cumulative_counts(scored, score, label, rows_per_bucket, group)
     doubled = F.sum(F.col("neg").cast("decimal(19,0)") * (F.col("tp") * 2 - F.col("pos")).cast("decimal(19,0)"))
-    area = curve.agg(doubled.alias("a"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    keys = [group] if group else []
+    area = curve.groupBy(*keys).agg(doubled.alias("a"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     bottom = F.lit(2.0) * F.col("p").cast("double") * F.col("n").cast("double")
-    return area.select(V.ratio(F.col("a"), bottom).alias("roc_auc"))
+    return area.select(*keys, V.ratio(F.col("a"), bottom).alias("roc_auc"))
 
 
 def metrics_from_counts(counts: DataFrame) -> DataFrame:
@@ -103,8 +108,10 @@ def outcome_counts(threshold: Column | float, score: str = "score", label: str =
             count_where(~hit & no).alias("tn"), count_where(~hit & yes).alias("fn")]
 
 
-def binary_metrics(scored: DataFrame, threshold: float, score: str = "score", label: str = "label") -> DataFrame:
-    return metrics_from_counts(scored.agg(*outcome_counts(threshold, score, label)))
+def binary_metrics(scored: DataFrame, threshold: float, score: str = "score", label: str = "label",
+                   group: str | None = None) -> DataFrame:
+    """Counts and metrics at a threshold: one row, or one per ``group``."""
+    return metrics_from_counts(scored.groupBy(*([group] if group else [])).agg(*outcome_counts(threshold, score, label)))
 
 
 def score_and_segment(scored: DataFrame, threshold: float, key: str = "customer_id", score: str = "score",

@@ -1,123 +1,157 @@
 """Minority oversampling with exact nearest neighbours, without comparing all pairs.
 
-Distances never shrink below the difference of a projection on a unit vector. Distinct
-feature vectors are put in order of one projection, cut into range buckets, and searched
-outwards inside their bucket until the projection alone rules out better neighbours. The
-k-th distance found so far bounds the search in other buckets: only vectors whose bound
-reaches over their bucket's edge are sent on, and only to the buckets it reaches.
+Distinct feature vectors are cut into cells: every cell with too many vectors is cut at the quartiles of
+its projections on the next random direction, until all cells are small. The best neighbours in the cell,
+over a few such divisions, bound how far the true ones can be. A projection on a unit vector never makes
+a distance larger, so each vector is then sent down the first division into just those cells that its
+bound reaches. Cells are searched in pieces of a bounded size.
 """
 
 from __future__ import annotations
 
+import math
+import random
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.operators.ordering import By, Position, range_bounds, row_rank, with_bucket
-from churnlake.session import stage
+from churnlake.operators.ordering import By, row_rank
+from churnlake.session import attach, stage
 
-ROWS_PER_BUCKET = 20_000
+#: Vectors in a cell, divisions, and how many rounds of cuts at most; what no direction cuts is dealt out by hash.
+CELL, DIVISIONS, ROUNDS = 1024, 3, 40
+#: Vectors that are looked up in a cell by one task.
+ASKED = 8192
 FOUND = "vid string, other string, distance double"
 
 
-def projection(points: DataFrame) -> list[float]:
-    """Unit vector near the direction of largest spread.
-
-    The covariances with the most varying coordinate: one power-iteration step.
-    """
-    size = points.select(F.size("x").alias("d")).first()["d"]
-    x = [F.get("x", F.lit(i)) for i in range(size)]
-    spread = points.agg(*[F.coalesce(F.var_pop(c), F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(x)]).first()
-    top = max(range(size), key=lambda i: spread[i])
-    shared = points.agg(*[F.coalesce(F.covar_pop(x[top], c), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(x)]).first()
-    norm = sum(v * v for v in shared) ** 0.5
-    return [v / norm for v in shared] if norm > 0 else [1.0] + [0.0] * (size - 1)
-
-
-def _searcher(k: int, own: bool):
-    """Task-side search in one bucket; returned as a closure so that it ships by value."""
-
-    def search(queries, points):
+@dataclass
+class Cut:
+    """One round: the projection, and per cell its rows, quartiles, and whether it is dealt out by hash instead."""
+
+    along: Column
+    cells: DataFrame
+
+
+def _along(size: int, seed: int) -> Column:
+    """Projection of ``x`` on a random unit vector."""
+    rng = random.Random(seed)
+    axis = [rng.gauss(0, 1) for _ in range(size)]
+    norm = math.sqrt(sum(v * v for v in axis))
+    return F.aggregate(F.zip_with("x", F.array(*[F.lit(v / norm) for v in axis]), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+
+
+def _divide(points: DataFrame, size: int, cell: int, seed: int) -> tuple[DataFrame, list[Cut]]:
+    """``points`` (vid, x) with ``cell``, stored, and the cuts that lead there."""
+    placed, cuts = points.withColumn("cell", F.lit("")), []
+    for turn in range(ROUNDS):
+        if not placed.groupBy("cell").count().where(F.col("count") > cell).head(1):
+            break
+        along = _along(size, 1000 * seed + turn)
+        cells = placed.withColumn("p", along).groupBy("cell").agg(
+            F.count(F.lit(1)).alias("rows"), F.percentile_approx("p", [0.25, 0.5, 0.75]).alias("q"))
+        stuck = (F.col("q")[0] == F.col("q")[2]) | F.lit(turn == ROUNDS - 1)
+        cells = stage(cells.withColumn("salts", F.when(stuck, F.ceil(F.col("rows") / cell))).where(F.col("rows") > cell), "smote-cuts")
+        quarter = sum((F.col("p") > F.col("q")[i]).cast("int") for i in range(3))
+        part = (F.when(F.col("rows").isNull(), "").when(F.col("salts").isNull(), quarter.cast("string"))
+                .otherwise(F.concat(F.lit("h"), F.pmod(F.xxhash64("vid"), F.col("salts")).cast("string"))))
+        placed = stage(attach(placed.withColumn("p", along), cells, ["cell"]).select("vid", "x", F.concat("cell", part).alias("cell")), "smote-cells")
+        cuts.append(Cut(along, cells))
+    return placed, cuts
+
+
+def _reached(asked: DataFrame, cuts: list[Cut]) -> DataFrame:
+    """``asked`` (vid, x, bound) once for every cell that holds points within ``bound``."""
+    spread = asked.withColumn("cell", F.lit(""))
+    for cut in cuts:
+        slack = (F.abs("p") + F.col("bound")) * 1e-9
+        low, high, q = F.col("p") - F.col("bound") - slack, F.col("p") + F.col("bound") + slack, F.col("q")
+        quarters = F.array_compact(F.array(
+            F.when(low <= q[0], "0"), F.when((high > q[0]) & (low <= q[1]), "1"), F.when((high > q[1]) & (low <= q[2]), "2"), F.when(high > q[2], "3")))
+        salts = F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda n: F.concat(F.lit("h"), n.cast("string")))
+        parts = F.when(F.col("rows").isNull(), F.array(F.lit(""))).when(F.col("salts").isNull(), quarters).otherwise(salts)
+        spread = attach(spread.withColumn("p", cut.along), cut.cells, ["cell"]).select(
+            "vid", "x", "bound", "cell", F.explode(parts).alias("part")).select("vid", "x", "bound", F.concat("cell", "part").alias("cell"))
+        spread = stage(spread, "smote-reach")
+    return spread
+
+
+def _searcher(k: int):
+    """Task-side search of one cell; returned as a closure so that it ships by value."""
+
+    def search(asked, points):
         import numpy as np
         import pandas as pd
 
-        empty = pd.DataFrame({"vid": [], "other": [], "distance": []}).astype(
-            {"vid": str, "other": str, "distance": float})
-        if not len(queries) or not len(points):
-            return empty
-        points = points.sort_values("p", kind="stable")
-        p = points["p"].to_numpy()
-        x = np.stack(points["x"].to_numpy())
-        ids = points["vid"].to_numpy()
-        q, qp, qid = np.stack(queries["x"].to_numpy()), queries["p"].to_numpy(), queries["vid"].to_numpy()
-        best = np.full((len(q), k), np.inf)
-        who = np.full((len(q), k), -1)
-        if not own:
-            best[:] = queries["bound"].to_numpy()[:, None]
-        start = np.searchsorted(p, qp)
-        slack = 1e-9 * (1.0 + np.abs(qp))
-        for step, low in ((1, start), (-1, start - 1)):
-            at = low.copy()
-            live = np.arange(len(q))
-            while len(live):
-                live = live[(at[live] >= 0) & (at[live] < len(p))]
-                live = live[np.abs(p[at[live]] - qp[live]) <= best[live, -1] + slack[live]]
-                if not len(live):
-                    break
-                d = np.sqrt(((x[at[live]] - q[live]) ** 2).sum(axis=1))
-                better = (d < best[live, -1]) | ((d <= best[live, -1]) & (not own))
-                better &= ids[at[live]] != qid[live]
-                rows = live[better]
-                if len(rows):
-                    best[rows, -1], who[rows, -1] = d[better], at[rows]
-                    order = np.argsort(best[rows], axis=1, kind="stable")
-                    best[rows] = np.take_along_axis(best[rows], order, axis=1)
-                    who[rows] = np.take_along_axis(who[rows], order, axis=1)
-                at[live] += step
-        row, slot = np.nonzero(who >= 0)
-        return pd.DataFrame({"vid": qid[row], "other": ids[who[row, slot]], "distance": best[row, slot]})
+        found = [pd.DataFrame({"vid": [], "other": [], "distance": []}).astype({"vid": str, "other": str, "distance": float})]
+        if len(asked) and len(points):
+            x, ids, own = np.stack(points["x"].to_numpy()), points["vid"].to_numpy(), asked["vid"].to_numpy()
+            a, bound = np.stack(asked["x"].to_numpy()), asked["bound"].to_numpy()
+            order = np.argsort(ids)                                 # equal distances go by id
+            x, ids = x[order], ids[order]
+            for start in range(0, len(own), 256):
+                part = slice(start, start + 256)
+                far = np.zeros((len(own[part]), len(ids)))
+                for c in range(x.shape[1]):
+                    far += (a[part, c:c + 1] - x[None, :, c]) ** 2
+                far = np.sqrt(far)
+                far[(ids[None, :] == own[part][:, None]) | (far > bound[part][:, None])] = np.inf
+                best = np.argsort(far, axis=1, kind="stable")[:, :k]
+                row = np.repeat(np.arange(len(best)), best.shape[1])
+                near = far[row, best.ravel()]
+                some = np.isfinite(near)
+                found.append(pd.DataFrame({"vid": own[part][row[some]], "other": ids[best.ravel()[some]], "distance": near[some]}))
+        return pd.concat(found)
 
     return search
 
 
-def nearest_vectors(points: DataFrame, k: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """The k nearest other vectors of every vector: (vid, other, distance).
+def _searched(asked: DataFrame, cells: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest in its cell for every row of ``asked`` (vid, x, bound, cell), no farther than ``bound``.
 
-    ``points`` is a stored table of distinct vectors (vid, x).
+    A cell that very many ask for is copied to as many tasks as their number needs.
     """
-    axis = F.array(*[F.lit(v) for v in projection(points)])
-    along = F.aggregate(F.zip_with("x", axis, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    placed = stage(points.withColumn("p", along), "smote-points")
-    pos = Position(placed, By("p"), "vid")
-    bounds = range_bounds(placed, pos, placed.count(), rows_per_bucket)
-    placed = with_bucket(placed, pos, bounds, "bucket")
-    inside = _searcher(k, own=True)
-    found = placed.groupBy("bucket").applyInPandas(lambda g: inside(g, g), FOUND)
-    if not bounds:
-        return found
-    found = stage(found, "smote-found")
-    edges = placed.groupBy("bucket").agg(F.min("p").alias("low"), F.max("p").alias("high")).orderBy("bucket").collect()
-    ranges = F.from_json(F.lit("[" + ",".join(
-        f'{{"b":{e["bucket"]},"low":{e["low"]!r},"high":{e["high"]!r}}}' for e in edges) + "]"),
-        "array<struct<b:int,low:double,high:double>>")
-    reach = found.groupBy("vid").agg(F.max("distance").alias("bound"), F.count(F.lit(1)).alias("n"))
-    bound = F.when(F.col("n") >= k, F.col("bound")).otherwise(F.lit(float("inf")))
-    open_ = placed.join(reach, "vid", "left").select("vid", "x", "p", F.col("bucket").alias("home"), F.coalesce(bound, F.lit(float("inf"))).alias("bound"))
-    slack = (F.abs("p") + 1) * 1e-9
-
-    def reaches(r: Column) -> Column:
-        return (r["low"] <= F.col("p") + F.col("bound") + slack) & (r["high"] >= F.col("p") - F.col("bound") - slack)
-
-    sent = open_.select("vid", "x", "p", "bound", "home", F.explode(F.filter(ranges, reaches)).alias("r")).select(
-        "vid", "x", "p", "bound", "home", F.col("r.b").alias("bucket")).filter(F.col("bucket") != F.col("home"))
-    outside = _searcher(k, own=False)
-    asked = sent.select("vid", "x", "p", "bound", "bucket").toDF("vid", "x", "p", "bound", "bucket")
-    more = asked.groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInPandas(
-        lambda a, b: outside(a, b), FOUND)
-    best = found.unionByName(more).groupBy("vid").agg(
-        F.slice(F.sort_array(F.collect_set(F.struct("distance", "other"))), 1, k).alias("n"))
+    tasks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / ASKED).alias("tasks"))
+    copies = cells.join(tasks, "cell").select("vid", "x", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task")).toDF(
+        "vid", "x", "cell", "task")
+    dealt = asked.join(tasks, "cell").select("vid", "x", "bound", "cell", F.pmod(F.xxhash64("vid"), F.col("tasks")).alias("task")).toDF(
+        "vid", "x", "bound", "cell", "task")
+    search = _searcher(k)
+    return dealt.groupBy("cell", "task").cogroup(copies.groupBy("cell", "task")).applyInPandas(lambda a, b: search(a, b), FOUND)
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    """The ``k`` least distances per vector, ties by the other's id. Every cell has given ``k`` pairs at most."""
+    best = pairs.groupBy("vid").agg(F.slice(F.sort_array(F.collect_set(F.struct("distance", "other"))), 1, k).alias("n"))
     return best.select("vid", F.explode("n").alias("n")).select("vid", "n.other", "n.distance")
 
 
+def nearest_vectors(points: DataFrame, k: int, cell: int = CELL, seed: int = 42) -> DataFrame:
+    """The k nearest other vectors of every vector: (vid, other, distance), exact.
+
+    ``points`` is a stored table of distinct vectors (vid, x) of one length. How many cells a vector is sent to
+    depends on how well its neighbours bound it: few where vectors vary along a few directions only.
+    """
+    first = points.select(F.size("x").alias("d")).first()
+    if first is None:
+        return points.sparkSession.createDataFrame([], FOUND)
+    forever = F.lit(float("inf"))
+    divisions = [_divide(points, first["d"], cell, seed + n) for n in range(DIVISIONS if points.count() > cell else 1)]
+    found = [_searched(placed.withColumn("bound", forever), placed, k) for placed, _ in divisions]
+    placed, cuts = divisions[0]
+    if not cuts:
+        return found[0]
+    near = found[0]
+    for one in found[1:]:
+        near = near.unionByName(one)
+    near = stage(_best(near, k), "smote-near")
+    bound = near.groupBy("vid").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(forever).alias("bound"))
+    asked = points.join(bound, "vid", "left").select("vid", "x", F.coalesce("bound", forever).alias("bound"))
+    elsewhere = _reached(asked, cuts).join(placed.select("vid", "cell"), ["vid", "cell"], "left_anti")
+    return _best(near.unionByName(_searched(elsewhere, placed, k)), k)
+
+
 def uniform(*parts) -> Column:
     """Number in [0, 1) from a hash: repeatable, unlike ``rand()``."""
     text = F.md5(F.concat_ws("|", *parts))
@@ -125,7 +159,7 @@ def uniform(*parts) -> Column:
 
 
 def smote(train: DataFrame, label: str = "label", key: str = "customer_id", k: int = 5, seed: int = 42,
-          rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+          cell: int = CELL) -> DataFrame:
     """Synthetic minority rows (key, x, label, synthetic) that even out the two classes.
 
     Every minority row is used equally often (the remainder in hash order). Copies of a
@@ -144,7 +178,7 @@ def smote(train: DataFrame, label: str = "label", key: str = "customer_id", k: i
     vid = F.md5(F.concat_ws(",", F.transform("x", lambda v: v.cast("string"))))
     rows = stage(train.filter(F.col(label) == minority).select(key, "x", vid.alias("vid")), "smote-rows")
     points = stage(rows.groupBy("vid").agg(F.count(F.lit(1)).alias("copies"), F.first("x").alias("x")), "smote-distinct")
-    near = nearest_vectors(points.select("vid", "x"), k, rows_per_bucket)
+    near = nearest_vectors(points.select("vid", "x"), k, cell, seed)
     # Neighbour list per vector: its own copies first, then others by distance, k rows in all.
     weighted = near.join(points.select(F.col("vid").alias("other"), "copies", F.col("x").alias("ox")), "other")
     lists = weighted.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("distance", "other", "copies", "ox"))).alias("others"))
@@ -154,7 +188,7 @@ def smote(train: DataFrame, label: str = "label", key: str = "customer_id", k: i
         lambda o: F.array_repeat(o["ox"], F.least(o["copies"], F.lit(k)).cast("int"))))
     own = F.array_repeat(F.col("x"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
     neighbours = full.select("vid", F.slice(F.concat(own, others), 1, k).alias("neighbours"))
-    ranked = row_rank(rows.withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), key))), By("h"), key, None, "rank")
+    ranked = row_rank(rows.withColumn("h", F.md5(F.concat(F.lit(f"{seed}|"), key))), By("h"), key, name="rank")
     turns = F.lit(each) + F.when(F.col("rank") <= rest, 1).otherwise(0)
     bases = ranked.withColumn("turns", turns).filter(F.col("turns") > 0).select(
         key, "x", "vid", F.explode(F.sequence(F.lit(1), F.col("turns"))).alias("turn"))

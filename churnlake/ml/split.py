@@ -6,11 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from churnlake.operators.ordering import By, ROWS_PER_BUCKET, row_rank
-
-HASH_BUCKETS = 4096
+from churnlake.operators.ordering import By, Position, ROWS_PER_BUCKET, row_rank, rows_at
 
 
 def hash_order(key: str, seed: int) -> Column:
@@ -18,49 +15,27 @@ def hash_order(key: str, seed: int) -> Column:
 
 
 def stratified_split(df: DataFrame, label: str, key: str = "customer_id", train_share: float = 0.8,
-                     seed: int = 42, buckets: int = HASH_BUCKETS) -> DataFrame:
-    """Add ``is_train``: exactly the rounded share of each class, in hash order.
+                     seed: int = 42, rows_in_task: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add ``is_train``: exactly the rounded share of each class, in hash order. ``df`` is stored, ``key`` unique.
 
-    Counts per class and hash range decide; only the one range per class where the share
-    ends is ranked. Everything else is decided row by row.
+    The position where a class's share ends is searched for in counting passes; rows are then marked where they
+    lie. There are few classes; a null label is one of them.
     """
-    hashed = df.withColumns({
-        "__h": hash_order(key, seed),
-        "__b": F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long") % 2 ** 32 * buckets / 2 ** 32})
-    hashed = hashed.withColumn("__b", F.floor("__b").cast("int"))
-    sizes: dict = {}
-    for r in hashed.groupBy(label, "__b").count().collect():     # at most classes x buckets rows
-        sizes.setdefault(r[label], {})[r["__b"]] = r["count"]
+    hashed = df.withColumn("__h", hash_order(key, seed))
     train = F.lit(False)
-    edge = F.lit(False)
-    edges = []
-    for value, counts in sizes.items():
-        want = math.floor(train_share * sum(counts.values()) + 0.5)
-        taken, cut, rest = 0, -1, 0
-        for b in sorted(counts):
-            cut = b
-            if taken + counts[b] > want:
-                rest = want - taken
-                break
-            taken += counts[b]
-        else:
-            cut, rest = buckets, 0
-        is_class = F.col(label).eqNullSafe(F.lit(value))
-        train = F.when(is_class, F.col("__b") < cut).otherwise(train)
-        edge = edge | (is_class & (F.col("__b") == cut))
-        edges.append((value, rest))
-    order = Window.partitionBy(label).orderBy("__h", key)
-    chosen = F.lit(False)
-    for value, rest in edges:
-        chosen = F.when(F.col(label).eqNullSafe(F.lit(value)), F.col("__rn") <= rest).otherwise(chosen)
-    inside = hashed.filter(edge).withColumn("__rn", F.row_number().over(order)).withColumn("is_train", chosen)
-    outside = hashed.filter(~edge).withColumn("is_train", train)
-    return outside.unionByName(inside.drop("__rn")).drop("__h", "__b")
+    for r in df.groupBy(label).count().collect():
+        of_class, want = F.col(label).eqNullSafe(F.lit(r[label])), math.floor(train_share * r["count"] + 0.5)
+        inside = F.lit(want > 0)
+        if 0 < want < r["count"]:
+            rows = hashed.filter(of_class)
+            pos = Position(rows, By("__h"), key)
+            inside = ~pos.after(rows_at(rows, {"share": pos}, [want], r["count"], rows_in_task)["share"][want])
+        train = F.when(of_class, inside).otherwise(train)
+    return hashed.withColumn("is_train", train).drop("__h")
 
 
 def stratified_folds(df: DataFrame, label: str, key: str = "customer_id", folds: int = 5, seed: int = 42,
                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``fold`` 0..folds-1: the rank in hash order within the class, modulo folds."""
-    hashed = df.withColumn("__h", hash_order(key, seed))
-    ranked = row_rank(hashed, By("__h"), key, label, "__rank", rows_per_bucket)
+    ranked = row_rank(df.withColumn("__h", hash_order(key, seed)), By("__h"), key, label, "__rank", rows_per_bucket)
     return ranked.withColumn("fold", ((F.col("__rank") - 1) % folds).cast("int")).drop("__rank", "__h")

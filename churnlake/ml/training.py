@@ -5,18 +5,20 @@ from __future__ import annotations
 import json
 import random
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnlake.ml import evaluation as E
 from churnlake.ml.encode import with_vector
 from churnlake.ml.smote import balance
-from churnlake.operators.ordering import By, lag_in_group
+from churnlake.operators.ordering import By, row_rank
 from churnlake.session import stage
 
 # Parameter grids and the number of random draws from each.
@@ -78,12 +80,15 @@ def draw_parameters(grid: dict[str, list], draws: int, seed: int = 42) -> list[d
     return points
 
 
-def class_weights(train: DataFrame, params: dict) -> DataFrame:
+def class_sizes(train: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+
+
+def class_weights(train: DataFrame, params: dict, sizes: dict[int, int]) -> DataFrame:
     """Add ``weight``: balanced, a positive weight, or 1."""
     if params.get("class_weight") == "balanced":
-        n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-        total = sum(n.values())
-        weight = F.when(F.col("label") == 1, total / (2.0 * n.get(1, 1))).otherwise(total / (2.0 * n.get(0, 1)))
+        total = sum(sizes.values())
+        weight = F.when(F.col("label") == 1, total / (2.0 * sizes.get(1, 1))).otherwise(total / (2.0 * sizes.get(0, 1)))
     else:
         weight = F.when(F.col("label") == 1, float(params.get("positive_weight", 1.0))).otherwise(1.0)
     return train.withColumn("weight", weight)
@@ -108,9 +113,18 @@ def estimator(name: str, params: dict, rows: int, seed: int = 42):
         featureSubsetStrategy=str(params.get("column_share", "all")), **trees)])
 
 
-def fit(train: DataFrame, name: str, params: dict, seed: int = 42) -> PipelineModel:
-    """``train`` has label and the vector ``features``; it is read once per iteration, so store it."""
-    return estimator(name, params, train.count(), seed).fit(class_weights(train, params))
+def fit(train: DataFrame, name: str, params: dict, seed: int = 42, sizes: dict[int, int] | None = None) -> PipelineModel:
+    """``train`` has label and the vector ``features``; it is read once per iteration, so store it.
+
+    A fitted model holds a summary of its training, and that the session, which tasks that score must not be sent.
+    The summary is let go, as it is when a model is saved and loaded.
+    """
+    sizes = class_sizes(train) if sizes is None else sizes
+    model = estimator(name, params, sum(sizes.values()), seed).fit(class_weights(train, params, sizes))
+    for step in model.stages:
+        if getattr(step, "hasSummary", False):
+            step._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame:
@@ -119,13 +133,14 @@ def score(model: PipelineModel, df: DataFrame, name: str = "score") -> DataFrame
     return out.drop("rawPrediction", "probability", "prediction", "scaled")
 
 
-def metric_value(scored: DataFrame, metric: str, threshold: float = 0.5) -> float:
+def metric_values(scored: DataFrame, metric: str, group: str, threshold: float = 0.5) -> dict:
+    """The metric of every group of scored rows, in one aggregation. ``scored`` is stored."""
     if metric not in SEARCH_METRICS:
         raise ValueError(f"metric must be one of {SEARCH_METRICS}")
     if metric == "roc_auc":
-        return E.auc(scored).first()["roc_auc"] or 0.0
+        return {r[group]: r["roc_auc"] or 0.0 for r in E.auc(scored, group=group).collect()}
     column = {"f1": "f1_score"}.get(metric, metric)
-    return E.binary_metrics(scored, threshold).first()[column]
+    return {r[group]: r[column] for r in E.binary_metrics(scored, threshold, group=group).collect()}
 
 
 def prepare(train: DataFrame, use_smote: bool) -> DataFrame:
@@ -134,20 +149,50 @@ def prepare(train: DataFrame, use_smote: bool) -> DataFrame:
     return stage(with_vector(rows), "train")
 
 
-def random_search(folded: DataFrame, name: str, points: list[dict], metric: str = "accuracy",
-                  use_smote: bool = True, folds: int = 5, seed: int = 42) -> list[tuple[dict, float]]:
+def prepare_folds(folded: DataFrame, use_smote: bool, folds: int = 5) -> list[DataFrame]:
+    """The training rows of each fold: all others', stored and balanced if wanted."""
+    return [prepare(folded.filter(F.col("fold") != fold), use_smote) for fold in range(folds)]
+
+
+def in_parallel(spark: SparkSession, work, jobs: list, parallelism: int) -> list:
+    """Results in order of ``jobs``; Spark runs the jobs of several threads side by side."""
+    if parallelism == 1:
+        return [work(j) for j in jobs]
+    with ThreadPool(parallelism) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), jobs, chunksize=1)
+
+
+def scored_trials(held: DataFrame, models: list[PipelineModel], first: int) -> DataFrame:
+    """(trial, label, score): every row of ``held`` by every model, in one pass. Trials are numbered from ``first``."""
+    rows = with_vector(held)
+    for i, model in enumerate(models):
+        rows = score(model, rows, f"score_{i}")
+    scores = F.array(*[f"score_{i}" for i in range(len(models))])
+    return rows.select("label", F.posexplode(scores).alias("trial", "score")).withColumn("trial", F.col("trial") + first)
+
+
+def random_search(folded: DataFrame, name: str, points: list[dict], metric: str = "accuracy", use_smote: bool = True,
+                  folds: int = 5, seed: int = 42, parallelism: int = 4,
+                  trains: list[DataFrame] | None = None) -> list[tuple[dict, float]]:
     """Mean metric per parameter point over the folds, best first; ties keep drawing order.
 
-    Oversampling happens inside each training fold, once per fold for all points.
+    Oversampling happens inside each training fold, once per fold for all points; ``trains`` are the prepared folds
+    if they serve several searches. ``parallelism`` models are fitted side by side, and four times as many held at a
+    time; those of a fold score its held rows in one frame, and all trials are measured together.
     """
-    sums = [0.0] * len(points)
-    for fold in range(folds):
-        train = prepare(folded.filter(F.col("fold") != fold), use_smote)
-        held = with_vector(folded.filter(F.col("fold") == fold))
-        for i, params in enumerate(points):
-            scored = stage(score(fit(train, name, params, seed), held).select("customer_id", "label", "score"), "fold")
-            sums[i] += metric_value(scored, metric)
-    means = [(p, s / folds) for p, s in zip(points, sums)]
+    trains = trains or prepare_folds(folded, use_smote, folds)
+    sizes = [class_sizes(train) for train in trains]
+    jobs = [(fold, i) for fold in range(folds) for i in range(len(points))]
+    trials = None
+    for start in range(0, len(jobs), 4 * parallelism):
+        some = jobs[start:start + 4 * parallelism]
+        models = in_parallel(folded.sparkSession, lambda job: fit(trains[job[0]], name, points[job[1]], seed, sizes[job[0]]), some, parallelism)
+        for fold in sorted({f for f, _ in some}):
+            mine = [(i, model) for (f, i), model in zip(some, models) if f == fold]
+            held = scored_trials(folded.filter(F.col("fold") == fold), [m for _, m in mine], fold * len(points) + mine[0][0])
+            trials = stage(held, "trials") if trials is None else trials.unionByName(stage(held, "trials"))
+    values = metric_values(trials, metric, "trial")
+    means = [(p, sum(values.get(fold * len(points) + i, 0.0) for fold in range(folds)) / folds) for i, p in enumerate(points)]
     return sorted(means, key=lambda m: -m[1])
 
 
@@ -168,60 +213,100 @@ def contributions(model: PipelineModel, names: list[str]) -> dict:
             for i, (n, m, s, c) in enumerate(parts)}
 
 
-def shuffled(df: DataFrame, index: int, seed: int = 42) -> DataFrame:
-    """The same rows with the value of one feature moved around the rows in hash order."""
-    order = df.withColumns({"__h": F.md5(F.concat(F.lit(f"{seed}|{index}|"), "customer_id")),
-                            "__v": F.get("x", F.lit(index)), "__all": F.lit("all")})
-    last = order.agg(F.max_by("__v", F.struct("__h", "customer_id")).alias("v")).first()["v"]
-    moved = lag_in_group(order, "__all", By("__h"), "customer_id", {"__from": "__v"})
-    value = F.coalesce("__from", F.lit(last))
-    x = F.transform("x", lambda v, i: F.when(i == index, value).otherwise(v))
-    return with_vector(moved.withColumn("x", x).drop("features", "__h", "__v", "__all", "__from"))
+def log_odds(model: PipelineModel, names: list[str]) -> Column:
+    """What the contributions and the intercept add up to: the log-odds of the score."""
+    return sum(contributions(model, names).values(), F.lit(float(model.stages[-1].intercept)))
+
+
+def permuted(df: DataFrame, features: list[int], seed: int = 42) -> DataFrame:
+    """Every row once as it is (``feature`` -1) and once per feature with that value taken from another row.
+
+    The other row is the next in hash order, the first for the last: a permutation of each feature's values.
+    """
+    ranked = stage(row_rank(df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}|"), "customer_id"))), By("__h"), "customer_id", name="__r"),
+                   "hash-order")
+    rows = ranked.count()
+    donors = ranked.select((F.pmod(F.col("__r"), F.lit(max(rows, 1))) + 1).alias("__r"), F.col("x").alias("__donor"))
+    every = ranked.join(donors, "__r").withColumn("feature", F.explode(F.array(*[F.lit(i) for i in [-1, *features]])))
+    x = F.transform("x", lambda v, i: F.when(i == F.col("feature"), F.get("__donor", F.col("feature"))).otherwise(v))
+    return every.select("customer_id", "label", "feature", x.alias("x"))
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, names: list[str], features: list[str] | None = None,
                            seed: int = 42) -> list[tuple[str, float]]:
-    """Loss of ROC-AUC when a feature's values are moved between rows. ``df`` is stored."""
-    area = lambda rows: metric_value(stage(score(model, rows).select("label", "score"), "permuted"), "roc_auc")
-    base = area(with_vector(df))
-    losses = [(n, base - area(shuffled(df, names.index(n), seed))) for n in (features or names)]
+    """Loss of ROC-AUC when a feature's values are moved between rows; all features in one pass. ``df`` is stored."""
+    asked = [names.index(n) for n in (features or names)]
+    areas = metric_values(score(model, with_vector(permuted(df, asked, seed))), "roc_auc", "feature")
+    losses = [(names[i], areas.get(-1, 0.0) - areas.get(i, 0.0)) for i in asked]
     return sorted(losses, key=lambda p: (-p[1], p[0]))
 
 
 @dataclass
 class ModelResult:
+    """A trained model, its numbers, and its scores (customer_id, label, score) of held-out and of test rows."""
+
     name: str
     params: dict
     metrics: dict
     model: PipelineModel | None = field(default=None, repr=False)
+    held: DataFrame | None = field(default=None, repr=False)
+    test: DataFrame | None = field(default=None, repr=False)
+
+
+def _numbers(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/numbers")
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def clear_result(spark: SparkSession, path: str) -> None:
+    """Make the checkpoint incomplete, so that the next run trains again."""
+    folder, files = _numbers(spark, path)
+    files.delete(folder, True)
 
 
-def save_result(spark: SparkSession, result: ModelResult, path: str) -> None:
-    """Model first, then its numbers: a checkpoint counts only once both are there."""
+def save_result(spark: SparkSession, result: ModelResult, path: str, asked: dict | None = None) -> None:
+    """Model and scores first, then the numbers: their ``_SUCCESS`` file, written last, makes the checkpoint complete.
+
+    ``asked`` says what was trained: settings that must be the same for the checkpoint to be used.
+    """
+    clear_result(spark, path)
     result.model.write().overwrite().save(f"{path}/model")
-    line = json.dumps({"name": result.name, "params": result.params, "metrics": result.metrics})
+    for name in ("held", "test"):
+        scores = getattr(result, name)
+        if scores is not None:
+            scores.write.mode("overwrite").parquet(f"{path}/{name}")
+    line = json.dumps({"name": result.name, "params": result.params, "metrics": result.metrics, "asked": asked,
+                       "scores": [n for n in ("held", "test") if getattr(result, n) is not None]})
     spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/numbers")
 
 
-def load_result(spark: SparkSession, path: str) -> ModelResult | None:
-    """The saved result, or None if there is no complete one."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/numbers/_SUCCESS")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+def load_result(spark: SparkSession, path: str, asked: dict | None = None) -> ModelResult | None:
+    """The saved result, or None if there is no complete one of the same settings."""
+    folder, files = _numbers(spark, path)
+    if not files.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
         return None
     saved = json.loads(spark.read.text(f"{path}/numbers").first()["value"])
-    return ModelResult(saved["name"], saved["params"], saved["metrics"], PipelineModel.load(f"{path}/model"))
+    if asked is not None and saved["asked"] != json.loads(json.dumps(asked)):
+        return None
+    scores = {n: spark.read.parquet(f"{path}/{n}") for n in saved["scores"]}
+    return ModelResult(saved["name"], saved["params"], saved["metrics"], PipelineModel.load(f"{path}/model"), **scores)
 
 
 def record_run(spark: SparkSession, path: str, run: dict, results: list[ModelResult]) -> DataFrame:
-    """Append one run to the history: a row per model with metrics, parameters and run data."""
-    rows = [tuple(r.metrics.get(c) for c in _METRIC_NAMES) + (r.name, json.dumps(r.params, sort_keys=True)) for r in results]
-    schema = ", ".join(f"{c} double" for c in _METRIC_NAMES) + ", model_name string, hyperparameters string"
+    """Put one run into the history: a row per model with metrics, parameters and run data.
+
+    The run's folder is overwritten, so a run that is recorded again is replaced, and other runs stay. A version is
+    the time of training; ``test_size`` counts the rows the metrics were measured on.
+    """
+    rows = [tuple(r.metrics.get(c) for c in _METRIC_NAMES) + (r.metrics.get("test_size"), r.name, json.dumps(r.params, sort_keys=True))
+            for r in results]
+    schema = ", ".join(f"{c} double" for c in _METRIC_NAMES) + ", test_size long, model_name string, hyperparameters string"
+    created = F.lit(run["created_at"]).cast("timestamp_ntz")
     table = spark.createDataFrame(rows, schema).withColumns({
         "metric": F.lit(run["metric"]), "use_smote": F.lit(run["use_smote"]), "seed": F.lit(run["seed"]),
-        "created_at": F.lit(run["created_at"]).cast("timestamp_ntz"), "run_id": F.lit(run["run_id"])})
-    table.coalesce(1).write.mode("append").partitionBy("run_id").parquet(path)
+        "created_at": created, "training_date": created, "model_version": F.date_format(created, "yyyyMMdd.HHmmss"),
+        "run_id": F.lit(run["run_id"])})
+    (table.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
     return spark.read.parquet(path)
 
 

@@ -1,32 +1,25 @@
 """Global order without single-task windows: tiles, ranks, lags, running totals, quantiles.
 
-All of them rest on range buckets. A bounded random sample gives boundary values over
-the whole sort position - null flag, key and tie-breaking id - so that ties cannot make a
-hot bucket. Boundaries only decide who works on what: any boundaries give the same
-result. They are plain literals afterwards, so that every later pass buckets alike.
-
-The input is read several times, so it must give the same rows each time: a stored table,
-or a frame that went through ``session.stage``.
+Ranks, lags, running totals and quantiles deal the rows by range of the whole sort position - null
+flag, key and tie-breaking id, so that ties cannot make a hot range - and store them with the number
+of their range; sums or last rows per range then carry over from one range to the next. Tiles need
+only the positions that end them, which are searched for in a few counting passes: that input is
+read several times, so it must give the same rows each time, as a stored table does.
 """
 
 from __future__ import annotations
 
-import json
 import math
-from collections import defaultdict
 from dataclasses import dataclass
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from churnlake.session import attach
+from churnlake.session import attach, stage
 
 ROWS_PER_BUCKET = 1_000_000
-MOST_BUCKETS = 20_000        # more rows than this many buckets hold only makes buckets larger
-SAMPLES_PER_BUCKET = 20
 SELECT_SAMPLE = 200_000
 
 
@@ -85,51 +78,6 @@ def _filler(df: DataFrame, column: str) -> Column:
     return F.lit(0 if isinstance(kind, T.NumericType) else "").cast(kind)
 
 
-def range_bounds(df: DataFrame, pos: Position, rows: int, rows_per_bucket: int = ROWS_PER_BUCKET,
-                 seed: int = 42) -> list:
-    """Positions (JSON values) that cut the rows into near-equal ranges.
-
-    They come in pairs: where the tail of a range starts, and where the next range starts.
-    """
-    buckets = min(math.ceil(rows / rows_per_bucket), MOST_BUCKETS)
-    if buckets <= 1:
-        return []
-    sample = df.sample(min(1.0, SAMPLES_PER_BUCKET * buckets / rows), seed)
-    sample = sample.agg(F.array_sort(F.collect_list(pos.struct)).alias("s"))
-    at = F.ceil(F.col("i") * F.size("s") / buckets).cast("int")
-    picked = sample.select("s", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))).alias("i")).select(
-        at.alias("at"), F.to_json(F.get("s", at - 2)).alias("tail"), F.to_json(F.get("s", at - 1)).alias("start"))
-    rows_ = picked.filter(F.col("tail").isNotNull()).dropDuplicates(["at"]).orderBy("at").collect()
-    pairs = [(r["at"], r["tail"], r["start"]) for r in rows_]
-    # A tail may start right at the range's own start; ranges next to each other share no position.
-    return [json.loads(x) for i, (at_, tail, start) in enumerate(pairs)
-            if tail != start and (i == 0 or at_ - pairs[i - 1][0] >= 2) for x in (tail, start)]
-
-
-def with_section(df: DataFrame, pos: Position, bounds: list, name: str = "__section") -> DataFrame:
-    """Add the number of boundaries at or below the row's position.
-
-    Section 2b is the front and 2b + 1 the tail of range b. A two-level search over
-    literals; the position is cast once per row to the literals' nullable type.
-    """
-    if not bounds:
-        return df.withColumn(name, F.lit(0))
-    width = math.isqrt(len(bounds) - 1) + 1
-    chunks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
-    kind = T.StructType([T.StructField(f.name, f.dataType, True) for f in pos.kind.fields])
-    heads = F.from_json(F.lit(json.dumps([c[0] for c in chunks])), T.ArrayType(kind))
-    inner = F.from_json(F.lit(json.dumps(chunks)), T.ArrayType(T.ArrayType(kind)))
-    coarse = F.transform(F.array(pos.struct.cast(kind)), lambda p: F.struct(
-        p.alias("p"), F.size(F.filter(heads, lambda b: b <= p)).alias("chunk")))
-    fine = F.transform(coarse, lambda s: F.when(s["chunk"] == 0, F.lit(0)).otherwise(
-        (s["chunk"] - 1) * width + F.size(F.filter(F.get(inner, s["chunk"] - 1), lambda b: b <= s["p"]))))
-    return df.withColumn(name, fine[0])
-
-
-def with_bucket(df: DataFrame, pos: Position, bounds: list, name: str = "__bucket") -> DataFrame:
-    return with_section(df, pos, bounds, "__s").withColumn(name, F.floor(F.col("__s") / 2).cast("int")).drop("__s")
-
-
 def tile_ends(rows: int, tiles: int) -> list[int]:
     """Rank of the last row of every tile but the last, by the NTILE rule."""
     base, extra = divmod(rows, tiles)
@@ -249,120 +197,109 @@ def ntile_global(df: DataFrame, orderings: dict[str, By], tie: str, tiles: int =
     return df.withColumns(columns)
 
 
-def _ranged(df: DataFrame, pos: Position, bounds: list) -> DataFrame:
-    section = with_section(df, pos, bounds).withColumns({"__p": pos.struct})
-    return section.withColumn("__bucket", F.floor(F.col("__section") / 2).cast("int"))
+def in_ranges(df: DataFrame, pos: Position, rows_per_bucket: int, rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` with its position ``__p`` and the number ``__range`` of the range of positions the row lies in;
+    and whether there are several ranges.
+
+    A table of up to ``rows_per_bucket`` rows is one range. A larger one is dealt by range and stored with the numbers;
+    Spark draws the limits from a sample, and they decide who works on what, never a result. Ranges are numbered in
+    order of position, some numbers may be missing, and equal positions share a range.
+    """
+    placed = df.withColumn("__p", pos.struct)
+    rows = df.count() if rows is None else rows
+    if rows <= rows_per_bucket:
+        return placed.withColumn("__range", F.lit(0)), False
+    ranges = max(math.ceil(rows / rows_per_bucket), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = placed.repartitionByRange(ranges, *[F.col("__p")[f] for f in pos.fields])
+    return stage(dealt.withColumn("__range", F.spark_partition_id()), "ranges"), True
+
+
+def _by_range(group: str | None) -> Window:
+    """Ranges of a group in order: as many rows as there are ranges and groups."""
+    return Window.partitionBy(*([group] if group else [F.lit(0)])).orderBy("__range")
 
 
 def row_rank(df: DataFrame, by: By | list[By], tie: str, group: str | None = None, name: str = "rank",
              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add the exact 1-based position of every row, in the table or within ``group``."""
-    rows = df.count()
     pos = Position(df, by, tie, group)
-    bounds = range_bounds(df, pos, rows, rows_per_bucket)
-    keys = ([group] if group else []) + ["__bucket"]
-    out = _ranged(df, pos, bounds)
+    ranged, several = in_ranges(df, pos, rows_per_bucket)
+    keys = ([group] if group else []) + ["__range"]
     order = Window.partitionBy(*keys).orderBy(*[f"__p.{f}" for f in pos.in_group])
-    local = F.row_number().over(order).cast("long")
-    if not bounds:
-        return out.withColumn(name, local).drop("__p", "__section", "__bucket")
-    before = Window.partitionBy(*([group] if group else [F.lit(0)])).orderBy("__bucket").rowsBetween(
-        Window.unboundedPreceding, -1)
-    sizes = out.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    ranked = attach(out.withColumn("__local", local), offsets, keys)
-    return ranked.withColumn(name, F.col("__local") + F.col("__before")).drop(
-        "__p", "__section", "__bucket", "__local", "__before")
+    ranked = ranged.withColumn(name, F.row_number().over(order).cast("long"))
+    if several:
+        sizes = ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        before = _by_range(group).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+        ranked = attach(ranked, offsets, keys).withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+    return ranked.drop("__p", "__range")
 
 
 def lag_in_group(df: DataFrame, group: str, by: By, tie: str, columns: dict[str, str],
                  rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None) -> DataFrame:
     """Add ``LAG(column)`` within ``group`` by (key, tie) for every new-name/column pair.
 
-    Groups may be huge: the table is cut into ranges of (group, key, tie), the window runs
-    per range, and the first row of a range takes its value from the last row of the range
-    before, if that is of the same group. Last rows are looked for in the tails only.
+    Groups may be huge: the window runs per group and range, and the first row of a range takes its value
+    from the last row of the group's range before, one row per group and range.
     """
-    rows = df.count() if rows is None else rows
     pos = Position(df, by, tie, group)
-    bounds = range_bounds(df, pos, rows, rows_per_bucket)
+    ranged, several = in_ranges(df, pos, rows_per_bucket, rows)
     values = F.struct(*[F.col(c).alias(n) for n, c in columns.items()])
-    out = _ranged(df, pos, bounds)
-    order = Window.partitionBy(group, "__bucket").orderBy(*[f"__p.{f}" for f in pos.in_group])
-    out = out.withColumn("__prev", F.lag(values).over(order))
-    if not bounds:
-        return out.withColumns({n: F.col("__prev")[n] for n in columns}).drop("__p", "__section", "__bucket", "__prev")
-    tails = _ranged(df, pos, bounds).filter(F.col("__section") % 2 == 1)
-    last = tails.groupBy("__bucket").agg(F.max_by(F.struct(F.col(group).alias("g"), values.alias("v")), "__p").alias("l"))
-    carried = last.select(F.col("l.g").alias(group), (F.col("__bucket") + 1).alias("__bucket"), F.col("l.v").alias("__carry"))
-    joined = attach(out, carried, [group, "__bucket"])
-    chosen = F.when(F.col("__prev").isNotNull(), F.col("__prev")).otherwise(F.col("__carry"))
-    return joined.withColumns({n: chosen[n] for n in columns}).drop("__p", "__section", "__bucket", "__prev", "__carry")
-
-
-def running_totals(df: DataFrame, by: By, sums: dict[str, str],
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add inclusive running sums in key order; keys are unique (aggregate first)."""
-    rows = df.count()
-    pos = Position(df, by)
-    bounds = range_bounds(df, pos, rows, rows_per_bucket)
-    out = _ranged(df, pos, bounds)
-    order = (Window.partitionBy("__bucket").orderBy(*[f"__p.{f}" for f in pos.fields])
+    order = Window.partitionBy(group, "__range").orderBy(*[f"__p.{f}" for f in pos.in_group])
+    lagged = ranged.withColumn("__prev", F.lag(values).over(order))
+    if several:
+        last = ranged.groupBy(group, "__range").agg(F.max_by(values, "__p").alias("__last"))
+        carried = last.select(group, "__range", F.lag("__last").over(_by_range(group)).alias("__carry"))
+        lagged = attach(lagged, carried, [group, "__range"]).withColumn(
+            "__prev", F.when(F.col("__prev").isNotNull(), F.col("__prev")).otherwise(F.col("__carry"))).drop("__carry")
+    return lagged.withColumns({n: F.col("__prev")[n] for n in columns}).drop("__p", "__range", "__prev")
+
+
+def running_totals(df: DataFrame, by: By, sums: dict[str, str], rows_per_bucket: int = ROWS_PER_BUCKET,
+                   group: str | None = None, rows: int | None = None) -> DataFrame:
+    """Add inclusive running sums in key order, over the table or within ``group``; keys are unique in it."""
+    pos = Position(df, by, group=group)
+    ranged, several = in_ranges(df, pos, rows_per_bucket, rows)
+    keys = ([group] if group else []) + ["__range"]
+    order = (Window.partitionBy(*keys).orderBy(*[f"__p.{f}" for f in pos.in_group])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = out.withColumns({n: F.sum(c).over(order) for n, c in sums.items()}).drop("__p", "__section")
-    if not bounds:
-        return local.drop("__bucket")
-    before = Window.partitionBy(F.lit(0)).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = out.groupBy("__bucket").agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
-    offsets = totals.select("__bucket", *[
-        F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in sums])
-    joined = attach(local, offsets, ["__bucket"])
-    return (joined.withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in sums})
-            .drop("__bucket", *[f"__b_{n}" for n in sums]))
+    added = ranged.withColumns({n: F.sum(c).over(order) for n, c in sums.items()})
+    if several:
+        totals = ranged.groupBy(*keys).agg(*[F.sum(c).alias(f"__t_{n}") for n, c in sums.items()])
+        before = _by_range(group).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).alias(f"__b_{n}") for n in sums])
+        added = attach(added, offsets, keys).withColumns({n: F.col(n) + F.col(f"__b_{n}") for n in sums})
+    return added.drop("__p", "__range", *[f"__b_{n}" for n in sums])
+
+
+def quantiles_by(df: DataFrame, group: str, column: str, probabilities: list[float],
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Exact quantiles per group, linear interpolation: ``group`` and ``q0``, ``q1``, ... as probabilities are given.
+
+    Equal values of a group are counted first (partial sums on the map side), so a value that fills a third of
+    the table is one row from then on. One table of counts answers all groups and probabilities. NULL and NaN
+    are left out; a group without other values has no row.
+    """
+    value = F.col(column).cast("double")
+    counts = stage(df.select(F.col(group), value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+                   .groupBy(group, "v").agg(F.count(F.lit(1)).alias("n")), "counts")
+    upto = running_totals(counts, By("v"), {"upto": "n"}, rows_per_bucket, group)
+    sized = upto.join(counts.groupBy(F.col(group).alias("__of")).agg(F.sum("n").alias("total")), F.col(group).eqNullSafe(F.col("__of")))
+
+    def at(rank: Column) -> Column:
+        """The value at a 0-based rank."""
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("v")))
+
+    spots = [(F.col("total") - 1) * F.lit(float(p)) for p in probabilities]
+    ends = sized.groupBy(group).agg(F.max("total").alias("total"), *[
+        at(f(spot)).alias(f"{n}{i}") for i, spot in enumerate(spots) for n, f in (("low", F.floor), ("high", F.ceil))])
+    return ends.select(group, *[
+        (F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * (spot - F.floor(spot))).alias(f"q{i}")
+        for i, spot in enumerate(spots)])
 
 
 def quantiles(df: DataFrame, column: str, probabilities: list[float],
               rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float | None]:
-    """Exact quantiles with linear interpolation; NULL and NaN are left out.
-
-    Equal values are counted first (partial sums on the map side), so a value that fills a
-    third of the table is one row from then on. The distinct values are ranged like rows.
-    """
-    value = F.col(column).cast("double")
-    hist = (df.select(value.alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-            .groupBy("v").agg(F.count(F.lit(1)).alias("n"))).persist()
-    try:
-        size = hist.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("n")).first()
-        if not size["d"]:
-            return [None] * len(probabilities)
-        total = int(size["n"])
-        points = [(total - 1) * p for p in probabilities]
-        ranks = sorted({r + 1 for x in points for r in (math.floor(x), math.ceil(x))})
-        pos = Position(hist, By("v"))
-        bounds = range_bounds(hist, pos, size["d"], rows_per_bucket)
-        spread = with_bucket(hist, pos, bounds, "bucket")
-        sizes = {0: total}
-        if bounds:
-            sizes = {r["bucket"]: r["n"] for r in spread.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
-        ends = dict(zip(sorted(sizes), accumulate(sizes[b] for b in sorted(sizes))))
-        wanted = {r: next(b for b, end in ends.items() if r <= end) for r in ranks}
-        order = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        upto = (spread.filter(F.col("bucket").isin(sorted(set(wanted.values()))))
-                .withColumn("upto", F.sum("n").over(order)))
-        hit = None
-        for r, b in wanted.items():
-            local = r - (ends[b] - sizes[b])
-            here = (F.col("bucket") == b) & (F.col("upto") >= local) & (F.col("upto") - F.col("n") < local)
-            hit = here if hit is None else hit | here
-        rows = upto.filter(hit).select("bucket", "v", "n", "upto").collect()
-    finally:
-        hist.unpersist()
-    values = {}
-    for r, b in wanted.items():
-        local = r - (ends[b] - sizes[b])
-        values[r] = next(x["v"] for x in rows if x["bucket"] == b and x["upto"] - x["n"] < local <= x["upto"])
-    result = []
-    for x in points:
-        low, high = values[math.floor(x) + 1], values[math.ceil(x) + 1]
-        result.append(low + (high - low) * (x - math.floor(x)))
-    return result
+    """``quantiles_by`` of the whole table; None where there is no value."""
+    row = quantiles_by(df.withColumn("__all", F.lit(0)), "__all", column, probabilities, rows_per_bucket).first()
+    return [None] * len(probabilities) if row is None else list(row)[1:]

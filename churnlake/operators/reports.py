@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlake.functions import values as V
-from churnlake.operators.ordering import quantiles
+from churnlake.operators.ordering import quantiles, quantiles_by
+from churnlake.session import attach
 
 RETENTION_RATES = [20, 30, 40, 50]      # fixed values: percent
 MONTHLY_REVENUE_CENTS = 6476            # fixed value: average monthly revenue in cents
@@ -113,38 +114,36 @@ def quantile_table(df: DataFrame, column: str, probabilities: list[float]) -> Da
 
 def boxplot_stats(df: DataFrame, column: str = "monthly_charges", by: str = "churn",
                   groups: tuple[str, ...] = ("No", "Yes")) -> DataFrame:
-    """Quartiles, whiskers (last value within 1.5 IQR) and outliers per group; no row for a group without values."""
-    value = F.col(column).cast("double")
-    result = None
-    for g in groups:
-        part = df.filter(F.col(by) == g)
-        q1, q2, q3 = quantiles(part, column, [0.25, 0.5, 0.75])
-        if q1 is None:
-            continue
-        inside = (value >= q1 - 1.5 * (q3 - q1)) & (value <= q3 + 1.5 * (q3 - q1))
-        row = part.agg(
-            F.lit(g).alias(by), F.lit(q1).alias("q1"), F.lit(q2).alias("median"), F.lit(q3).alias("q3"),
-            F.min(F.when(inside, value)).alias("whisker_low"), F.max(F.when(inside, value)).alias("whisker_high"),
-            rows_where(~inside).alias("outliers"))
-        result = row if result is None else result.unionByName(row)
-    if result is None:
-        numbers = ", ".join(f"{c} double" for c in ("q1", "median", "q3", "whisker_low", "whisker_high"))
-        return df.sparkSession.createDataFrame([], f"{by} string, {numbers}, outliers bigint")
-    return result
+    """Quartiles, whiskers (last value within 1.5 IQR) and outliers per group; no row for a group without values.
+
+    One table of counts gives the quartiles of all groups; one more pass the rest.
+    """
+    rows = df.filter(F.col(by).isin(*groups)).select(by, F.col(column).cast("double").alias("v"))
+    quarters = quantiles_by(rows, by, "v", [0.25, 0.5, 0.75]).toDF(by, "q1", "median", "q3")
+    low = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
+    high = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col("v") >= low) & (F.col("v") <= high)
+    return attach(rows, quarters, [by]).filter(F.col("q1").isNotNull()).groupBy(by, "q1", "median", "q3").agg(
+        F.min(F.when(inside, F.col("v"))).alias("whisker_low"), F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
+        rows_where(~inside).alias("outliers"))
 
 
 def numeric_summary(df: DataFrame) -> DataFrame:
-    """Minimum, maximum, mean and median of the amounts; customers at tenure 0."""
+    """Minimum, maximum, mean and median of the amounts; customers at tenure 0. One table of counts for all medians."""
     columns = ["tenure", "monthly_charges", "total_charges"]
-    medians = {c: quantiles(df, c, [0.5])[0] for c in columns}
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+                                         for c in columns])).alias("c")).select("c.*")
+    medians = quantiles_by(long, "column_name", "v", [0.5]).withColumnRenamed("q0", "median_value")
     wide = df.agg(
         rows_where(F.col("tenure") == 0).alias("zero_tenure"),
         *[f(c).cast("double").alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))],
         *[V.mean_of(c).alias(f"mean_{c}") for c in columns])
-    return wide.select(F.inline(F.array(*[F.struct(
+    rest = wide.select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("column_name"), F.col(f"min_{c}").alias("min_value"), F.col(f"max_{c}").alias("max_value"),
-        F.col(f"mean_{c}").alias("mean_value"), F.lit(medians[c]).cast("double").alias("median_value"),
+        F.col(f"mean_{c}").alias("mean_value"),
         (F.col("zero_tenure") if c == "tenure" else F.lit(None).cast("long")).alias("zero_count")) for c in columns])))
+    return rest.join(medians, "column_name", "left").select(
+        "column_name", "min_value", "max_value", "mean_value", "median_value", "zero_count")
 
 
 SEGMENT_TYPES = ["contract", "tenure_group", "risk_segment", "payment_method"]

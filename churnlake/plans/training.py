@@ -38,7 +38,7 @@ def make_dataset(customers: DataFrame, seed: int = 42, fit_on_train: bool = True
 def measured(scored: DataFrame, threshold: float) -> dict:
     row = E.binary_metrics(scored, threshold).first()
     return {c: row[c] for c in ("accuracy", "precision", "recall", "f1_score")} | {
-        "roc_auc": E.auc(scored).first()["roc_auc"]}
+        "roc_auc": E.auc(scored).first()["roc_auc"], "test_size": sum(row[c] for c in ("tp", "fp", "tn", "fn"))}
 
 
 def tuned_threshold(scored: DataFrame, limits: tuple[int, int] = E.MODEL_THRESHOLDS) -> tuple[float, float]:
@@ -46,50 +46,66 @@ def tuned_threshold(scored: DataFrame, limits: tuple[int, int] = E.MODEL_THRESHO
     return best["threshold"], best["accuracy"]
 
 
+def scores_of(model, rows: DataFrame) -> DataFrame:
+    return stage(T.score(model, encode.with_vector(rows)).select("customer_id", "label", "score"), "scored")
+
+
+def score_column(model: str) -> str:
+    return "score_" + model.replace(" ", "_").replace("-", "_").lower()
+
+
+def side_by_side(scores: dict[str, DataFrame]) -> DataFrame:
+    """customer_id, label and a score column per model, from the models' own score tables, in one aggregation."""
+    long = None
+    for model, rows in scores.items():
+        one = rows.select("customer_id", "label", F.lit(model).alias("model"), "score")
+        long = one if long is None else long.unionByName(one)
+    return long.groupBy("customer_id", "label").agg(
+        *[F.max(F.when(F.col("model") == m, F.col("score"))).alias(score_column(m)) for m in scores])
+
+
 def train_and_evaluate(data: Dataset, models: list[str] | None = None, grids: dict | None = None,
                        draws: dict | None = None, metric: str = "accuracy", use_smote: bool = True, folds: int = 5,
                        seed: int = 42, checkpoints: str | None = None, clear_checkpoints: bool = False,
-                       ) -> tuple[list[T.ModelResult], DataFrame]:
+                       parallelism: int = 4) -> tuple[list[T.ModelResult], DataFrame]:
     """Results, best first by accuracy then ROC-AUC, and the test rows with every score.
 
-    With ``checkpoints`` a finished model is loaded instead of trained again.
+    With ``checkpoints`` a model that was finished with the same settings is loaded, scores included, instead of
+    trained again; ``clear_checkpoints`` trains all anew. ``parallelism`` models of a search are fitted at a time.
     """
     spark = data.train.sparkSession
     grids, draws = grids or T.GRIDS, draws or T.DRAWS
-    inner = stage(split.stratified_split(data.train, "label", seed=seed + 1), "inner")
-    fit_part, held = inner.filter("is_train").drop("is_train"), inner.filter("NOT is_train").drop("is_train")
-    folded = stage(split.stratified_folds(data.train, "label", folds=folds, seed=seed), "folds")
-    fit_rows, all_rows = T.prepare(fit_part, use_smote), T.prepare(data.train, use_smote)
-    results, test, validation = [], data.test, held
-    for name in models or list(grids):
-        path = f"{checkpoints}/{name.replace(' ', '_').lower()}" if checkpoints else None
-        done = T.load_result(spark, path) if path and not clear_checkpoints else None
-        column = "score_" + name.replace(" ", "_").replace("-", "_").lower()
-        # The threshold model is refitted on resume: the vote needs its held-out scores.
-        if done is None:
-            ranked = T.random_search(folded, name, T.draw_parameters(grids[name], draws[name], seed), metric,
-                                     use_smote, folds, seed)
-            params, cv = ranked[0]
-        else:
-            params, cv = done.params, done.metrics["cv_score"]
-        on_held = T.score(T.fit(fit_rows, name, params, seed), encode.with_vector(held))
-        validation = validation.join(on_held.select("customer_id", F.col("score").alias(column)), "customer_id")
-        if done is None:
-            threshold, reached = tuned_threshold(stage(on_held.select("label", "score"), "held"))
+    names = models or list(grids)
+    paths = {n: f"{checkpoints}/{n.replace(' ', '_').lower()}" if checkpoints else None for n in names}
+    asked = {n: {"grid": grids[n], "draws": draws[n], "metric": metric, "use_smote": use_smote, "folds": folds, "seed": seed} for n in names}
+    if clear_checkpoints:
+        for path in filter(None, paths.values()):
+            T.clear_result(spark, path)
+    results = [T.load_result(spark, paths[n], asked[n]) if paths[n] else None for n in names]
+    if None in results:
+        inner = stage(split.stratified_split(data.train, "label", seed=seed + 1), "inner")
+        fit_part, held = inner.filter("is_train").drop("is_train"), inner.filter("NOT is_train").drop("is_train")
+        folded = stage(split.stratified_folds(data.train, "label", folds=folds, seed=seed), "folds")
+        fit_rows, all_rows = T.prepare(fit_part, use_smote), T.prepare(data.train, use_smote)
+        trains = T.prepare_folds(folded, use_smote, folds)
+        for i, name in enumerate(names):
+            if results[i] is not None:
+                continue
+            params, cv = T.random_search(folded, name, T.draw_parameters(grids[name], draws[name], seed), metric,
+                                         use_smote, folds, seed, parallelism, trains)[0]
             model = T.fit(all_rows, name, params, seed)
-            on_test = stage(T.score(model, encode.with_vector(data.test)).select("customer_id", "label", "score"), "scored")
-            done = T.ModelResult(name, params, measured(on_test, threshold) | {
-                "best_threshold": threshold, "threshold_accuracy": reached, "cv_score": cv}, model)
-            if path:
-                T.save_result(spark, done, path)
-        on_test = T.score(done.model, encode.with_vector(data.test)).select("customer_id", F.col("score").alias(column))
-        test = test.join(on_test, "customer_id")
-        results.append(done)
-    columns = {r.name: "score_" + r.name.replace(" ", "_").replace("-", "_").lower() for r in results}
-    test, validation = stage(test, "test-scores"), stage(validation, "held-scores")
+            on_held = scores_of(T.fit(fit_rows, name, params, seed), held)
+            on_test = scores_of(model, data.test)
+            threshold, reached = tuned_threshold(on_held)
+            results[i] = T.ModelResult(name, params, measured(on_test, threshold) | {
+                "best_threshold": threshold, "threshold_accuracy": reached, "cv_score": cv}, model, on_held, on_test)
+            if paths[name]:
+                T.save_result(spark, results[i], paths[name], asked[name])
+    test = stage(side_by_side({r.name: r.test for r in results}), "test-scores")
+    validation = stage(side_by_side({r.name: r.held for r in results}), "held-scores")
     members = ensemble.choose_members({r.name: r.metrics["threshold_accuracy"] for r in results})
     areas = {r.name: r.metrics["roc_auc"] for r in results}
-    chosen = {m: columns[m] for m in members}
+    chosen = {m: score_column(m) for m in members}
     voted = stage(ensemble.soft_vote(test, chosen, areas, "score"), "voted")
     on_held = stage(ensemble.soft_vote(validation, chosen, areas, "score").select("label", "score"), "voted-held")
     threshold, reached = tuned_threshold(on_held, E.ENSEMBLE_THRESHOLDS)

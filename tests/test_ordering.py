@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from churnlake.operators.ordering import (
-    By, lag_in_group, ntile_global, quantiles, row_rank, running_totals, tile_ends)
+    By, lag_in_group, ntile_global, quantiles, quantiles_by, row_rank, running_totals, tile_ends)
 from churnlake.session import stage
 
 BUCKETS = [10**6, 100, 7]
@@ -80,6 +80,23 @@ def test_quantiles_match_numpy(table, size):
     assert quantiles(table.limit(0), "dbl", [0.5], size) == [None]
 
 
+def test_no_lambda_searches_the_ranges(table):
+    """Rows carry the number of their range: no expression over literal limits is left in the plan."""
+    for df in (row_rank(table, By("tenure"), "customer_id", "grp", "r", 100),
+               lag_in_group(table, "grp", By("tenure"), "customer_id", {"p": "tenure"}, 100)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and "from_json" not in plan
+
+
+@pytest.mark.parametrize("size", BUCKETS)
+def test_quantiles_per_group(table, size):
+    rows = table.select("grp", "dbl").collect()
+    got = {r["grp"]: list(r)[1:] for r in quantiles_by(table, "grp", "dbl", [0.1, 0.5, 0.99], size).collect()}
+    assert set(got) == {r["grp"] for r in rows}
+    for g, found in got.items():
+        assert found == pytest.approx(np.quantile([r["dbl"] for r in rows if r["grp"] == g], [0.1, 0.5, 0.99]).tolist())
+
+
 @pytest.mark.parametrize("size", BUCKETS)
 def test_running_totals(table, size):
     hist = stage(table.groupBy("dbl").agg(F.count(F.lit(1)).alias("n")))
