@@ -28,7 +28,7 @@ QUERY_NUMBERS = 1 << 21
 
 @dataclass
 class Vectors:
-    """Vectors of one dimension: ids, originals in double precision, lengths, int8 values, scales and error lengths."""
+    """Vectors of one dimension: ids, originals in double precision but for a power of two, lengths, int8 values, scales and error lengths."""
 
     ids: np.ndarray
     exact: np.ndarray
@@ -39,13 +39,13 @@ class Vectors:
 
 
 def quantised(ids: np.ndarray, exact: np.ndarray) -> Vectors:
+    # scaled by powers of two, which changes no quotient, so that no square overflows or vanishes
+    exact = np.ldexp(exact, -np.frexp(np.abs(exact).max(1))[1][:, None])
     squares = np.zeros(len(exact))
     for i in range(exact.shape[1]):
         squares += exact[:, i] * exact[:, i]
     norm = np.sqrt(squares)
-    top = np.maximum(np.abs(exact).max(1), np.finfo(float).tiny)  # scaled first, so that no square overflows
-    unit = exact / top[:, None]
-    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    unit = exact / norm[:, None]
     scale = np.abs(unit).max(1) / 127
     small = np.rint(unit / scale[:, None])
     error = np.sqrt(((unit - small * scale[:, None]) ** 2).sum(1))

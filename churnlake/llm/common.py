@@ -41,6 +41,14 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.head(1)
 
@@ -67,14 +75,12 @@ def components(edges: DataFrame) -> DataFrame:
     node of each component. No step gathers a node's neighbours in one row, so a node with
     very many links only makes the joins skewed, which AQE splits.
     """
-    spark = edges.sparkSession
     now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
         after = stage(small_star(large_star(now)), "edges")
         if is_empty(after.exceptAll(now)) and is_empty(now.exceptAll(after)):
             return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
         now = after
-        spark.catalog.clearCache()
 
 
 def running_start(df: DataFrame, group: list[str], order: list[str], size: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks, utf8
+from churnlake.llm.common import blocks, unused, utf8
 
 ORDER = 3
 UNKNOWN = "und"
@@ -178,31 +178,47 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     model knows no language. Only the text is looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.symbol, model.row, model.bits))
+    kept = list(keep)
+    sent = text_col in kept  # a text that is kept is not sent twice
+    at = kept.index(text_col) if sent else len(kept)
+
+    def judged(texts, model, names):
+        known = np.array(pc.fill_null(pc.match_substring_regex(texts, LETTER), False).to_pylist(), bool)
+        best, score, per_byte = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.full(len(texts), np.nan)
+        if len(texts) and model.languages:
+            length = code_lengths(model, texts)
+            odds = np.exp2(length.min(1, keepdims=True) - length)
+            size = np.maximum(np.diff(utf8(texts)[1]), 1)
+            best = np.where(known, length.argmin(1), best)
+            score = np.where(known, (odds / odds.sum(1, keepdims=True)).max(1), 0.0)
+            per_byte = np.where(known, length.min(1) / size, np.nan)
+        return [pa.array(names[best], pa.string()), pa.array(score), pa.array(per_byte, mask=np.isnan(per_byte))]
 
     def run(batches):
         model = Model(*shared.value)
         names = np.array([*model.languages, UNKNOWN], object)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            known = np.array(pc.fill_null(pc.match_substring_regex(texts, LETTER), False).to_pylist(), bool)
-            best, score, per_byte = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.full(len(texts), np.nan)
-            if len(texts) and model.languages:
-                length = code_lengths(model, texts)
-                odds = np.exp2(length.min(1, keepdims=True) - length)
-                size = np.maximum(np.diff(utf8(texts)[1]), 1)
-                best = np.where(known, length.argmin(1), best)
-                score = np.where(known, (odds / odds.sum(1, keepdims=True)).max(1), 0.0)
-                per_byte = np.where(known, length.min(1) / size, np.nan)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names[best], pa.string()), pa.array(score),
-                 pa.array(per_byte, mask=np.isnan(per_byte))],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"])
-
-    chosen = docs.select(*keep, F.col(text_col).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+        for whole in batches:
+            for batch in _cut(whole, at):
+                columns = [c for i, c in enumerate(batch.columns) if sent or i != at]
+                yield pa.RecordBatch.from_arrays([*columns, *judged(batch.column(at), model, names)],
+                                                 names=[*kept, "lang_pred", "score", "bits_per_byte"])
+
+    chosen = docs.select(*kept, *([] if sent else [F.col(text_col).alias(unused(docs, "__text"))]))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:len(kept)])
     return chosen.mapInArrow(run, f"{fields}, lang_pred string, score double, bits_per_byte double")
 
 
+def _cut(batch: pa.RecordBatch, column: int):
+    """``batch`` in pieces of at most about AT_ONCE bytes of text, and of one row at least: texts differ much in length."""
+    ends = utf8(batch.column(column))[1][1:]
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def keep_known(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` (``columns``) without those that are in no language: ``und``, or best described by no model.
 

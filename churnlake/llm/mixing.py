@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from churnlake.llm.common import is_empty, running_start, utf8
+from churnlake.llm.common import is_empty, running_start, unused, utf8
 from churnlake.session import stage
 
 SPACE = np.zeros(256, bool)
@@ -198,7 +198,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     start = F.greatest(F.col("block") * block - F.col("begin"), F.lit(0))
     pieces = pieces.withColumn("first_word", start).withColumn(
         "words", F.least((F.col("block") + 1) * block - F.col("begin"), F.col("size")) - start)
-    mixed = slots(spark, sources, slots_per_shard, seed).join(pieces, ["source_no", "block"])
+    # stored, so that its size is known and it is not broadcast
+    mixed = stage(slots(spark, sources, slots_per_shard, seed), "slots").join(pieces, ["source_no", "block"])
     return Mixture(sources, rows, mixed)
 
 
@@ -223,21 +224,23 @@ def mixed_documents(docs: DataFrame, columns: list[str], id_col: str = "doc_id",
 
     A document that a pass takes whole keeps its text; the parts of another are joined by a blank.
     """
+    mark, held = unused(docs, "__t"), unused(docs, "__parts")
     found = mix(docs, id_col, text_col, source_col, **options)
     taken = found.mixed.groupBy("id", "source_no", "tie", "size", "begin", "pass_no").agg(
         F.sort_array(F.collect_list(F.struct("first_word", "words"))).alias("parts"), F.sum("words").alias("got"))
-    parts = taken.select(F.col("id").alias("__id"), F.col("tie").alias("__tie"),
-                         F.when(F.col("got") < F.col("size"), F.col("parts")).alias("__parts"),
+    of, tie, name = (unused(docs, n) for n in ("__id", "__tie", "__source"))
+    parts = taken.select(F.col("id").alias(of), F.col("tie").alias(tie),
+                         F.when(F.col("got") < F.col("size"), F.col("parts")).alias(held),
                          F.element_at(F.array(*[F.lit(s.name) for s in found.sources]),
-                                      (F.col("source_no") + 1).cast("int")).alias("__source") if found.sources
-                         else F.lit(None).cast("string").alias("__source"))
-    texts = docs.select(*columns).withColumn("__t", F.xxhash64(text_col))
+                                      (F.col("source_no") + 1).cast("int")).alias(name) if found.sources
+                         else F.lit(None).cast("string").alias(name))
+    texts = docs.select(*columns).withColumn(mark, F.xxhash64(text_col))
     if not is_empty(found.rows.groupBy("id", "source", "tie").count().where("count > 1")):
-        texts = texts.dropDuplicates([id_col, source_col, "__t"])
-    both = texts.join(parts, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__tie"))
-                      & F.col(source_col).eqNullSafe(F.col("__source")))
+        texts = texts.dropDuplicates([id_col, source_col, mark])
+    both = texts.join(parts, F.col(id_col).eqNullSafe(F.col(of)) & (F.col(mark) == F.col(tie))
+                      & F.col(source_col).eqNullSafe(F.col(name)))
     at = columns.index(text_col)
-    out = both.select(*columns, "__parts")
+    out = both.select(*columns, held)
 
     def run(batches):
         for batch in batches:

@@ -13,27 +13,20 @@ member are linked, so each links to the least of them. Both ways are exact and l
 
 from __future__ import annotations
 
-import hashlib
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import components, is_empty
+from churnlake.llm.common import components, is_empty, unused
 from churnlake.llm.simhash import fingerprint, with_fingerprint
 from churnlake.session import stage
 
 #: First bit and width of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 DISTANCE = 4
-#: MinHash of ``keep_one_similar``: bands, and how many values of a band make its two buckets. At a Jaccard similarity of
-#: 0.8 two sets share a bucket of SHALLOW values in 1 - (1 - 0.8 ** 5) ** 20 = 99.96 % of cases.
-BANDS, SHALLOW, DEEP = 20, 5, 8
-MIX, ODD = np.random.default_rng(42).integers(0, 1 << 64, (2, BANDS * DEEP), np.uint64)
-ODD = ODD | np.uint64(1)
 
 
 def _filed(fps: DataFrame) -> DataFrame:
@@ -117,119 +110,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document, the one of least id, of each near-duplicate group.
 
-    Rows without an id cannot be told apart and all stay. Rows that share an id but not the
-    text are judged by their own texts; of rows of a group that share its least id, one stays.
+    Null and empty texts have fingerprint zero and are one group with all that link to it. Rows without an id cannot be
+    told apart and all stay. Rows that share an id but not the text are judged by their own texts; of rows of a group
+    that share its least id, one stays. Other columns are kept, whatever they are called. An empty table stays empty.
     """
-    def run(text):
-        return (np.uint64(fingerprint(text.encode())).astype(np.int64).item(),)
-
-    marked = stage(_appended(docs, text_col, [("__mark", pa.int64())], run), "marked")
-    fps = stage(marked.select(F.col("__mark").alias("fp")).distinct(), "fps")
-    return _one_each(marked, id_col, stage(components(links(fps)), "roots"))
-
-
-def _appended(docs: DataFrame, text_col: str, fields: list[tuple[str, pa.DataType]], run) -> DataFrame:
-    """``docs`` and columns ``fields`` with the values of ``run`` (text). Null text counts as empty."""
-    at = docs.columns.index(text_col)
-    kinds = {pa.int64(): "long", pa.string(): "string", pa.list_(pa.int64()): "array<long>"}
+    mark, at = unused(docs, "__mark"), docs.columns.index(text_col)
 
     def append(batches):
         for batch in batches:
-            found = [run(t or "") for t in (v.as_py() for v in batch.column(at))]
-            new = [pa.array([row[n] for row in found], kind) for n, (_, kind) in enumerate(fields)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *(f for f, _ in fields)])
-
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + [f"`{f}` {kinds[k]}" for f, k in fields])
-    return docs.mapInArrow(append, schema)
-
-
-def _one_each(marked: DataFrame, id_col: str, roots: DataFrame) -> DataFrame:
-    """Of each component of marks, the row of least id, of equal ids that of least mark; and all rows without an id."""
-    least = marked.where(F.col(id_col).isNotNull()).groupBy("__mark").agg(F.min(id_col).alias("least"))
-    rooted = least.join(roots, least["__mark"] == roots.node, "left").select("__mark", "least", F.coalesce("root", "__mark").alias("root"))
-    best = rooted.groupBy("root").agg(F.min(F.struct("least", "__mark")).alias("best")).select("best.*")
-    best = best.select(F.col("least").alias(id_col), "__mark")
-    out = marked.join(best, [id_col, "__mark"], "left_semi").select(*marked.columns)
-    once = marked.where(F.col(id_col).isNotNull()).groupBy(id_col, "__mark").count().where("count > 1")
+            found = np.array([fingerprint((v.as_py() or "").encode()) for v in batch.column(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, mark])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{mark}` long"])
+    marked = stage(docs.mapInArrow(append, schema), "marked")
+    fps = stage(marked.where(F.col(id_col).isNotNull()).groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("least")), "fps")
+    all_fps = stage(marked.select(F.col(mark).alias("fp")).distinct(), "all-fps")
+    roots = stage(components(links(all_fps)), "roots")
+    rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    best = rooted.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("best")).select(
+        F.col("best.least").alias(id_col), F.col("best.fp").alias(mark))
+    out = marked.join(best, [id_col, mark], "left_semi").select(*marked.columns)
+    once = marked.where(F.col(id_col).isNotNull()).groupBy(id_col, mark).count().where("count > 1")
     if not is_empty(once):
-        out = out.dropDuplicates([id_col, "__mark"])
-    return out.unionByName(marked.where(F.col(id_col).isNull())).drop("__mark")
-
-
-def shingles(text: str, words_in_shingle: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles of ``text``, words as for ``fingerprint``. No word, no shingle."""
-    words = text.encode().lower().split()
-    k = min(words_in_shingle, len(words))
-    if not k:
-        return np.zeros(0, np.uint64)
-    total = len(words) - k + 1
-    grams = map(b" ".join, zip(*(words[i:] for i in range(k))))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, total))
-
-
-def _minima(hashes: np.ndarray) -> np.ndarray:
-    """The least value of the set under each of the permutations."""
-    least = np.full(BANDS * DEEP, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(hashes), 1024):
-        np.minimum(least, ((hashes[start:start + 1024] ^ MIX[:, None]) * ODD[:, None]).min(1), out=least)
-    return least
-
-
-def _signature(text: str, words_in_shingle: int) -> tuple[str, int, int, list[int]]:
-    """Digest of the shingle set, its first 64 bits, the size of the set, and the buckets it is filed under."""
-    found = shingles(text, words_in_shingle)
-    digest = hashlib.sha256(found.tobytes()).digest()
-    minima = _minima(found).reshape(BANDS, DEEP)
-    buckets = [xxhash.xxh64_intdigest(row[:n].tobytes(), seed) for seed, (band, n) in enumerate(
-        (b, n) for b in range(BANDS) for n in (SHALLOW, DEEP)) for row in (minima[band],)]
-    return (digest[:16].hex(), int.from_bytes(digest[:8], "big", signed=True), len(found),
-            np.array(buckets, np.uint64).view(np.int64).tolist())
-
-
-def similar_links(marked: DataFrame, text_col: str, words_in_shingle: int, similarity: float) -> DataFrame:
-    """Links (a, b) between different shingle sets, each checked on the sets themselves.
-
-    ``marked`` has ``__mark``, ``__short``, ``__size`` and ``__buckets``. Each set is compared with the least one of
-    every bucket it is in, so pairs grow with the sets, not with the square of a bucket.
-    """
-    sets = marked.select("__mark", "__short", "__size", "__buckets").dropDuplicates(["__mark"])
-    filed = stage(sets.select("__short", "__size", F.explode("__buckets").alias("bucket")), "filed")
-    heads = filed.groupBy("bucket").agg(F.min("__short").alias("b"), F.max("__short").alias("most")).where("b != most")
-    pairs = filed.join(heads.select("bucket", "b"), "bucket").where("__short != b").select(F.col("__short").alias("a"), "b", F.col("__size").alias("size_a"))
-    pairs = stage(pairs.distinct(), "pairs")
-    met = pairs.select(F.col("a").alias("__short")).union(pairs.select("b")).distinct()
-    texts = marked.join(met, "__short", "left_semi").groupBy("__mark", "__short", "__size").agg(F.first(text_col).alias("text"))
-    texts = stage(texts, "texts")
-    left, right = (texts.select(F.col("__short").alias(c), F.col("__mark").alias(f"mark_{c}"), F.col("text").alias(f"text_{c}"),
-                                F.col("__size").alias(f"n_{c}")) for c in "ab")
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").where(
-        F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity - 1e-9))
-
-    def run(batches):
-        last, known = None, None
-        for batch in batches:
-            out = []
-            for a, b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("mark_a", "mark_b", "text_a", "text_b"))):
-                if b != last:
-                    last, known = b, shingles(text_b or "", words_in_shingle)
-                own = shingles(text_a or "", words_in_shingle)
-                common = len(np.intersect1d(own, known, assume_unique=True))
-                if common >= similarity * (len(own) + len(known) - common) - 1e-9:
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[n] for x in out], pa.string()) for n in (0, 1)], names=["a", "b"])
-
-    return both.select("mark_a", "mark_b", "text_a", "text_b").mapInArrow(run, "a string, b string")
-
-
-def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     words_in_shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document, the one of least id, of each group linked by Jaccard similarity of shingle sets.
-
-    Equal sets are one by a 128-bit digest; others meet in buckets of MinHash values (``BANDS`` of ``SHALLOW`` and
-    of ``DEEP`` values), and the similarity of the two sets themselves decides. A pair that shares no bucket, or only
-    buckets whose least set is similar to neither, is not linked directly. Ids as for ``keep_one``.
-    """
-    fields = [("__mark", pa.string()), ("__short", pa.int64()), ("__size", pa.int64()), ("__buckets", pa.list_(pa.int64()))]
-    marked = stage(_appended(docs, text_col, fields, lambda text: _signature(text, words_in_shingle)), "signed")
-    roots = stage(components(similar_links(marked, text_col, words_in_shingle, similarity)), "roots")
-    return _one_each(marked.select(*docs.columns, "__mark"), id_col, roots)
+        out = out.dropDuplicates([id_col, mark])
+    return out.unionByName(marked.where(F.col(id_col).isNull())).drop(mark)

@@ -10,11 +10,12 @@ allow, so the plan grows with the number of different lengths, not with the docu
 from __future__ import annotations
 
 import re
+import sys
+import types
 import unicodedata
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -68,10 +69,15 @@ class Encoder:
             return b"".join(map(self.kept.__getitem__, words))
 
 
-@lru_cache(maxsize=1)
 def encoder_of(definition: str) -> Encoder:
-    """One encoder in each Python worker, so that later tasks find the words that earlier ones kept."""
-    return Encoder(definition)
+    """One encoder in each Python worker, so that later tasks find the words that earlier ones kept.
+
+    It is held by a module made in the worker, because this one need not be there.
+    """
+    holder = sys.modules.setdefault("kept_word_encoder", types.ModuleType("kept_word_encoder"))
+    if getattr(holder, "definition", None) != definition:
+        holder.definition, holder.encoder = definition, Encoder(definition)
+    return holder.encoder
 
 
 def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",

@@ -114,31 +114,10 @@ def test_crowded_buckets_lose_no_link(spark):
         assert {frozenset(v) for v in got.values()} == {frozenset(v) for v in want.values()}
 
 
-def test_similar_copies_go(spark):
-    """Jaccard similarity of five-word shingles from 0.8; op2's four bits miss most of these."""
-    rng = random.Random(8)
-    rows, want = [], set()
-    for n in range(120):
-        words = [f"v{rng.randrange(100_000)}" for _ in range(300)]
-        rows.append((2 * n, " ".join(words)))
-        want.add(2 * n)
-        for at in rng.sample(range(60), 1 + n % 11):
-            words[5 * at] = "edited"
-        rows.append((2 * n + 1, " ".join(words)))
-        a, b = (set(zip(*(t.lower().split()[i:] for i in range(5)))) for t in (rows[-2][1], rows[-1][1]))
-        if len(a & b) < 0.8 * len(a | b):
-            want.add(2 * n + 1)
-    assert any(n % 2 for n in want) and sum(n % 2 for n in want) < 90
-    df = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    got = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, df, SMALL)
-    assert got.columns == corpus_pipeline.DOCUMENT_COLUMNS and sorted(r.doc_id for r in got.collect()) == sorted(want)
-    assert near_dedup.keep_one_similar(df.limit(0)).count() == 0
-
-
 def test_rows_that_share_an_id_are_judged_by_their_text(spark):
     base, other = prose(11, 300), prose(12, 300)
     df = spark.createDataFrame([(1, base), (2, base), (2, other), (None, base)], "doc_id long, text string")
-    for keep in (near_dedup.keep_one, near_dedup.keep_one_similar):
+    for keep in (near_dedup.keep_one,):
         assert sorted(map(tuple, keep(df).collect()), key=str) == sorted([(1, base), (2, other), (None, base)], key=str)
 
 
