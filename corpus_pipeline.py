@@ -11,27 +11,36 @@ from churnlake.session import stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; texts without a letter go, and null texts."""
+    """Documents in a language that the labelled ones teach.
+
+    Null and empty texts and texts without a letter go. Repeated rows and rows without an id stay or go by their text.
+    """
     return language.keep_known(docs, DOCUMENT_COLUMNS)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 or more of its five-word shingles."""
-    return near_dedup.keep_one_similar(docs.select(*DOCUMENT_COLUMNS))
+    """One document, of least id, of each group of SimHash fingerprints within four bits, of four-word shingles.
+
+    Of repeated rows one stays. Rows without an id all stay.
+    """
+    return near_dedup.keep_one(docs.select(*DOCUMENT_COLUMNS))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind."""
+    """Personal data replaced by its kind; null texts stay null, every row stays."""
     return pii.masked(docs, DOCUMENT_COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: a row per document and pass over its source."""
+    """Sources at their target weights: a row per document and pass over its source.
+
+    A null source is a source of its own. Texts without a word are not drawn; equal rows count once.
+    """
     return mixing.mixed_documents(docs, DOCUMENT_COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the tokenised documents in windows."""
+    """Pieces of the tokenised documents in windows; a null text is empty and has its end token alone."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
