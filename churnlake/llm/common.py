@@ -30,6 +30,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def in_pieces(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of at most about ``size`` bytes of a text column, and of one row at least: texts differ much in length."""
+    ends = utf8(batch.column(column))[1][1:]
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def kind_of(df: DataFrame, column: str) -> str:
     return df.select(column).schema[0].dataType.simpleString()
 

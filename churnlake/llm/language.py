@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks, unused, utf8
+from churnlake.llm.common import blocks, in_pieces, unused, utf8
 
 ORDER = 3
 UNKNOWN = "und"
@@ -198,7 +198,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
         model = Model(*shared.value)
         names = np.array([*model.languages, UNKNOWN], object)
         for whole in batches:
-            for batch in _cut(whole, at):
+            for batch in in_pieces(whole, at, AT_ONCE):
                 columns = [c for i, c in enumerate(batch.columns) if sent or i != at]
                 yield pa.RecordBatch.from_arrays([*columns, *judged(batch.column(at), model, names)],
                                                  names=[*kept, "lang_pred", "score", "bits_per_byte"])
@@ -208,17 +208,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     return chosen.mapInArrow(run, f"{fields}, lang_pred string, score double, bits_per_byte double")
 
 
-def _cut(batch: pa.RecordBatch, column: int):
-    """``batch`` in pieces of at most about AT_ONCE bytes of text, and of one row at least: texts differ much in length."""
-    ends = utf8(batch.column(column))[1][1:]
-    start = 0
-    while start < batch.num_rows:
-        before = ends[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
-        yield batch.slice(start, end - start)
-        start = end
-
-
 def keep_known(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` (``columns``) without those that are in no language: ``und``, or best described by no model.
 

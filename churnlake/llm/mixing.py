@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from churnlake.llm.common import is_empty, running_start, unused, utf8
+from churnlake.llm.common import in_pieces, is_empty, running_start, unused, utf8
 from churnlake.session import stage
 
 SPACE = np.zeros(256, bool)
@@ -47,7 +47,7 @@ def with_size(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
     """(id, source, tie, size) per row: number of words, and a hash of the text that orders rows of equal id."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, 3)):
             data, offsets = utf8(batch.column(3))
             word = ~SPACE[data]
             inner = np.ones(len(data), bool)
@@ -243,7 +243,7 @@ def mixed_documents(docs: DataFrame, columns: list[str], id_col: str = "doc_id",
     out = both.select(*columns, held)
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, at)):
             texts = [t if p is None else cut(t, [(x["first_word"], x["words"]) for x in p])
                      for t, p in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist())]
             arrays = list(batch.columns[:-1])
