@@ -4,9 +4,11 @@ Every byte that a string of ``length`` bytes covers, which also starts earlier i
 removed. Which strings are equal is read from suffix arrays:
 
 1. Every string of ``length`` bytes chooses an anchor by its content alone: the least hash among its
-   substrings of 32 bytes. Equal strings have equal anchors, so only strings whose anchor occurs
-   twice can repeat. Neighbouring strings mostly share their anchor and form one region.
-2. Equal texts are taken once, and so are equal regions; all but the first of them repeat as a whole.
+   substrings of GRAM bytes. Equal strings have equal anchors, so only strings whose anchor occurs
+   twice can repeat. Neighbouring strings mostly share their anchor and form one region. One pass over the
+   texts finds all regions and a hash of each; texts are read again only for bytes that are sorted.
+2. Equal texts are taken once, and so are equal regions (64 bits of the anchor and 64 of the whole region
+   agree); all but the first of them repeat as a whole. Distinct texts are numbered in the order of the corpus.
 3. Regions left are dealt by anchor into shards, so equal strings meet in one shard. A shard's suffixes
    are sorted by induction from its LMS suffixes: bucket queues, which are priority queues over the first
    byte and the order of arrival, carry the suffixes and go to disk when they grow. Neighbours in the suffix
@@ -26,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks, settled
+from churnlake.llm.common import blocks, running_start, settled
 from churnlake.session import stage
 
-GRAM = 32
+#: Bytes of an anchor: shorter ones are fewer, but more of them occur in strings that differ.
+GRAM = 48
 AT_ONCE = 1 << 20
 SHARD_BYTES = 4 << 20
-#: Texts a task remembers, to send the anchors of copies once.
+#: Texts a task remembers, to cut copies into regions once.
 REMEMBERED = 1 << 18
 #: Suffixes that queues keep in memory; more go to disk.
 IN_MEMORY = 8 << 20
@@ -43,13 +46,18 @@ NUMBERS = 258
 # -- anchors ------------------------------------------------------------------
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Polynomial 64-bit hashes of all substrings of GRAM bytes."""
+    """Polynomial 64-bit hashes of all substrings of GRAM bytes, put together from widths that are powers of two."""
     value, width, factor = data.astype(np.uint64) + np.uint64(1), 1, 0x9E3779B97F4A7C15
-    while width < GRAM:
+    whole, done = None, 0
+    while True:
+        if GRAM & width:
+            whole = value if whole is None else whole[:len(whole) - width] * np.uint64(factor) + value[done:]
+            done += width
+        if 2 * width > GRAM:
+            return whole * np.uint64(0xD6E8FEB86659FD93)
         value = value[:-width] * np.uint64(factor) + value[width:]
         factor = factor * factor % (1 << 64)
         width *= 2
-    return value * np.uint64(0xD6E8FEB86659FD93)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -78,38 +86,48 @@ def regions(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
 
 
-def anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, t, place): regions of the texts of ``docs`` (text); ``t`` is a hash of the text, ``place`` holds
-    the first string and the number of strings. A task sends equal texts once, as far as it remembers them."""
+def profiles(docs: DataFrame, length: int) -> DataFrame:
+    """(id, row, h, sha256, n_bytes, found) per row of ``docs`` (id, row, text): a hash of the text, and its regions (anchor,
+    place, r). ``place`` holds the first string and the number of strings, ``r`` is a hash of the region's bytes.
+    ``found`` is null where the text is too short or, as far as the task remembers, came before."""
 
     def run(batches):
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
-            hashes, texts, places, size = [], [], [], 0
-            for value in batch.column(0):
-                data = (value.as_py() or "").encode()
-                t = text_hash(data)
-                if len(data) < length or t in seen:
-                    continue
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(t)
-                anchor, first, number = regions(np.frombuffer(data, np.uint8), length)
-                hashes.append(anchor)
-                texts.append(np.full(len(anchor), t, np.int64))
-                places.append(first * 128 + number)
-                size += len(anchor)
-                if size > 100_000:
-                    yield _columns(hashes, texts, places)
-                    hashes, texts, places, size = [], [], [], 0
-            if size:
-                yield _columns(hashes, texts, places)
+            texts = batch.column(2).cast(pa.binary())
+            for a, b in blocks(batch.num_rows, 256):
+                hashes, shas, sizes, new, found = [], [], [], [], [[], [], []]
+                for value in texts.slice(a, b - a):
+                    data = value.as_py() or b""
+                    sha = hashlib.sha256(data)
+                    hashes.append(text_hash(data))
+                    shas.append(sha.hexdigest())
+                    sizes.append(len(data))
+                    new.append(-1)
+                    if len(data) >= length and sha.digest() not in seen:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(sha.digest())
+                        anchor, first, number = regions(np.frombuffer(data, np.uint8), length)
+                        new[-1] = len(anchor)
+                        found[0].append(anchor)
+                        found[1].append(first * 128 + number)
+                        found[2].extend(text_hash(data[x:y]) for x, y in zip(first.tolist(), (first + number + length - 1).tolist()))
+                flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in found[:2]]
+                flat = pa.StructArray.from_arrays([*map(pa.array, flat), pa.array(found[2], pa.int64())], fields=list(REGION))
+                new = np.array(new)
+                ends = np.cumsum(np.concatenate([[0], np.maximum(new, 0)])).astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(new < 0))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(hashes, pa.int64()),
+                     pa.array(shas, pa.string()), pa.array(sizes, pa.int64()), found],
+                    names=["id", "row", "h", "sha256", "n_bytes", "found"])
 
-    return docs.select("text").mapInArrow(run, "anchor long, t long, place long")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, row long, h long, sha256 string, n_bytes long, "
+                                "found array<struct<anchor: bigint, place: bigint, r: bigint>>")
 
 
-def _columns(*lists: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in lists], names=["anchor", "t", "place"])
+REGION = pa.struct([("anchor", pa.int64()), ("place", pa.int64()), ("r", pa.int64())])
 
 
 def text_hash(data: bytes) -> int:
@@ -249,16 +267,16 @@ def suffix_array(text: np.ndarray, depth: int, in_memory: int = IN_MEMORY) -> It
         yield np.concatenate([left[c], right[c]])
 
 
-def repeated(pieces: list[bytes], length: int, in_memory: int = IN_MEMORY) -> list[np.ndarray]:
-    """For each piece, which of its strings of ``length`` bytes occur at an earlier place of the pieces."""
-    sizes = np.array([len(p) for p in pieces], np.int64)
-    begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+def repeated_places(data: np.ndarray, sizes: np.ndarray, length: int, in_memory: int = IN_MEMORY) -> tuple[np.ndarray, np.ndarray]:
+    """Of pieces of ``data``, laid end to end: where each begins once a byte is put after every piece, and for all places
+    counted so, whether a string of ``length`` bytes starts there that occurs at an earlier place."""
+    begins = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]]).astype(np.int64)
     text = np.ones(int((sizes + 1).sum()) + 1, np.uint16)
     text[-1] = 0
     start = np.zeros(len(text), bool)
-    for p, a in zip(pieces, begins):
-        text[a:a + len(p)] = np.frombuffer(p, np.uint8).astype(np.uint16) + 2
-        start[a:a + len(p) - length + 1] = True
+    at = np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)
+    text[at] = data.astype(np.uint16) + 2
+    start[at] = np.repeat(begins + sizes, sizes) - at >= length
     out = np.zeros(len(text), bool)
     windows = np.lib.stride_tricks.sliding_window_view(text, length) if len(text) >= length else None
     for bucket in suffix_array(text, length, in_memory):
@@ -266,11 +284,21 @@ def repeated(pieces: list[bytes], length: int, in_memory: int = IN_MEMORY) -> li
         if len(bucket) < 2:
             continue
         same = np.zeros(len(bucket), bool)  # a common prefix of the whole length with the suffix before
-        for a, b in blocks(len(bucket) - 1, 1 << 15):
-            same[a + 1:b + 1] = (windows[bucket[a:b]] == windows[bucket[a + 1:b + 1]]).all(1)
+        ends = text[bucket + length - 1]
+        alike = np.flatnonzero(ends[1:] == ends[:-1])
+        for a, b in blocks(len(alike), 1 << 15):
+            n = alike[a:b]
+            same[n + 1] = (windows[bucket[n]] == windows[bucket[n + 1]]).all(1)
         groups = np.flatnonzero(~same)
         earliest = np.minimum.reduceat(bucket, groups)
         out[bucket[bucket != np.repeat(earliest, np.diff(np.append(groups, len(bucket))))]] = True
+    return begins, out
+
+
+def repeated(pieces: list[bytes], length: int, in_memory: int = IN_MEMORY) -> list[np.ndarray]:
+    """For each piece, which of its strings of ``length`` bytes occur at an earlier place of the pieces."""
+    sizes = np.array([len(p) for p in pieces], np.int64)
+    begins, out = repeated_places(np.frombuffer(b"".join(pieces), np.uint8), sizes, length, in_memory)
     return [out[a:a + max(n - length + 1, 0)] for a, n in zip(begins, sizes)]
 
 
@@ -282,67 +310,74 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 
 # -- the operator -------------------------------------------------------------
 
-def _profiles(docs: DataFrame) -> DataFrame:
-    """(id, t, n_bytes, sha256) per row of ``docs`` (id, text)."""
+def _cut_regions(texts: DataFrame, length: int) -> DataFrame:
+    """(anchor, t, place, region) of the regions ``found`` of ``texts`` (t, text, found): their bytes."""
 
     def run(batches):
         for batch in batches:
-            rows = [(text_hash(d), len(d), hashlib.sha256(d).hexdigest())
-                    for d in ((v.as_py() or "").encode() for v in batch.column(1))]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[], [], []], (pa.int64(), pa.int64(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "t", "n_bytes", "sha256"])
-
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, t long, n_bytes long, sha256 string")
-
-
-def _cut_regions(texts: DataFrame, length: int, hashed: bool) -> DataFrame:
-    """(anchor, t, place, r or region) of the regions ``found`` of ``texts`` (t, text, found): a hash of the bytes, or the bytes."""
-
-    def run(batches):
-        for batch in batches:
-            found, size = batch.column(2), np.array(pc.list_value_length(batch.column(2)).to_pylist(), np.int64)
-            flat = found.flatten()
-            anchor, places = flat.field("anchor"), flat.field("place").to_numpy(zero_copy_only=False)
-            ends = np.cumsum(size)
-            for i in range(len(batch)):
-                data, at = batch.column(1)[i].as_py().encode(), slice(ends[i] - size[i], ends[i])
-                first = places[at] // 128
-                parts = [data[a:b] for a, b in zip(first.tolist(), (first + places[at] % 128 + length - 1).tolist())]
-                last = pa.array([text_hash(p) for p in parts], pa.int64()) if hashed else pa.array(parts, pa.binary())
+            texts, size = batch.column(1).cast(pa.binary()), pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            flat = batch.column(2).flatten()
+            places = flat.field("place").to_numpy(zero_copy_only=False)
+            ends, a = np.cumsum(size), 0
+            while a < batch.num_rows:  # a bounded number of regions, one text at least
+                before = int(ends[a - 1]) if a else 0
+                b = max(a + 1, int(np.searchsorted(ends, before + 20_000, side="right")))
+                first = places[before:ends[b - 1]] // 128
+                last = (first + places[before:ends[b - 1]] % 128 + length - 1).tolist()
+                first, parts = first.tolist(), []
+                for i in range(a, b):
+                    data, at = texts[i].as_py(), slice(len(parts), len(parts) + int(size[i]))
+                    parts.extend(data[x:y] for x, y in zip(first[at], last[at]))
+                number = len(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [anchor[at.start:at.stop], batch.column(0).take(pa.array(np.full(size[i], i))), pa.array(places[at]), last],
-                    names=["anchor", "t", "place", "r" if hashed else "region"])
+                    [flat.field("anchor").slice(before, number), batch.column(0).take(pa.array(np.repeat(np.arange(a, b), size[a:b]))),
+                     pa.array(places[before:before + number]), pa.array(parts, pa.binary())], names=["anchor", "t", "place", "region"])
+                a = b
 
-    return texts.select("t", "text", "found").mapInArrow(
-        run, f"anchor long, t long, place long, {'r long' if hashed else 'region binary'}")
+    return texts.select("t", "text", "found").mapInArrow(run, "anchor long, t long, place long, region binary")
 
 
 def _sort_shards(distinct: DataFrame, length: int) -> DataFrame:
-    """(t, first, end): runs of repeated strings within the shards of ``distinct`` (shard, id, place, t, region)."""
+    """(t, first, end): runs of repeated strings within the shards of ``distinct`` (shard, t, place, region), in this order."""
 
     def run(batches):
-        rows, shard = [], None
+        held, shard = [], None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if row[0] != shard and rows:
-                    yield from finish(rows)
-                    rows = []
-                shard = row[0]
-                rows.append(row)
-        if rows:
-            yield from finish(rows)
-
-    def finish(rows):
-        for (_, _, place, t, _), flags in zip(rows, repeated([r[4] for r in rows], length)):
-            if flags.any():
-                found, first = _runs(flags), place // 128
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), t)), pa.array(first + found[:, 0]), pa.array(first + found[:, 1] - 1 + length)],
-                    names=["t", "first", "end"])
+            numbers = batch.column(0).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(numbers[1:] != numbers[:-1]) + 1, [len(numbers)]])
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if a == b:
+                    continue
+                if held and numbers[a] != shard:
+                    yield from finish(held)
+                    held = []
+                shard = numbers[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from finish(held)
+
+    def finish(held):
+        t, place = (np.concatenate([h.column(c).to_numpy() for h in held]) for c in (1, 2))
+        data, sizes = zip(*(_bytes(h.column(3)) for h in held))
+        begins, out = repeated_places(np.concatenate(data), np.concatenate(sizes), length)
+        found = _runs(out)
+        piece = np.searchsorted(begins, found[:, 0], side="right") - 1
+        offset = place[piece] // 128 - begins[piece]
+        for a, b in blocks(len(found), 10_000):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(t[piece[a:b]]), pa.array(offset[a:b] + found[a:b, 0]), pa.array(offset[a:b] + found[a:b, 1] - 1 + length)],
+                names=["t", "first", "end"])
 
     return distinct.mapInArrow(run, "t long, first long, end long")
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls, and the lengths of its values."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]], np.diff(ends)
+
+
 def _removed(texts: DataFrame) -> DataFrame:
     """(t, n_removed, n_spans, kept_sha256, spans) of ``texts`` (t, text, parts)."""
 
@@ -383,46 +418,50 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeat an id stand in the order of a hash of the text; rows equal in id and text are one document and
     get the same result each. Other columns are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    profiles = stage(_profiles(rows), "profiles")
-    texts = stage(profiles.groupBy("t").agg(F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("f"),
-                                            F.min("sha256").alias("a"), F.max("sha256").alias("b")), "texts")
-    if texts.where("a != b").head(1):
-        raise RuntimeError("two texts share a 64-bit hash")
-    texts = texts.select("t", F.col("f.id").alias("first_id"))
-    once = _repeats(profiles)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    profiled = stage(profiles(rows.select("id", F.monotonically_increasing_id().alias("row"), "text"), length), "profiles")
+    # a text's number is its place in the order of the corpus; ``row`` is a row of it that holds its regions
+    texts = profiled.groupBy("sha256").agg(
+        F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("f"), F.min("h").alias("h"),
+        F.min(F.when(F.col("found").isNotNull(), F.col("row"))).alias("row"))
+    texts = texts.select("sha256", F.col("f.known").alias("known"), F.col("f.id").alias("first_id"), "h", "row", F.lit(1).alias("one"))
+    texts = running_start(texts, [], ["known", "first_id", "h", "sha256"], "one", "t")
+    texts = stage(texts.select("t", "sha256", "first_id", "row"), "texts")
+    once = not profiled.groupBy("id", "sha256").count().where("count > 1").head(1)
 
     def first_texts(wanted: DataFrame) -> DataFrame:
-        """``wanted`` (t, first_id, ...) with the text of the first document of each text."""
-        out = profiled(rows).join(wanted, (F.col("h") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
-        return out.dropDuplicates(["t"]) if once else out
-
-    listed = lambda df: df.groupBy("t").agg(F.collect_set(F.struct("anchor", "place")).alias("found")).join(texts, "t")
-    found = anchors(rows, length)
+        """``wanted`` (t, ...) with the text of the first document of each text."""
+        named = wanted.join(texts.drop("row"), "t")
+        out = rows.withColumn("__h", F.sha2("text", 256)).join(
+            named, (F.col("__h") == F.col("sha256")) & F.col("id").eqNullSafe(F.col("first_id")))
+        return out if once else out.dropDuplicates(["t"])
+
+    listed = lambda df: df.groupBy("t").agg(F.collect_list(F.struct("anchor", "place")).alias("found"))
+    found = profiled.where("found is not null").select("row", "found").join(texts.where("row is not null").select("row", "t"), "row")
+    found = found.select("t", F.explode("found").alias("g")).select("g.anchor", "t", "g.place", "g.r")
     often = settled(found.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
-    wanted = settled(listed(found.join(often, "anchor")), "wanted")
-    cut = settled(_cut_regions(first_texts(wanted), length, True), "regions").join(texts, "t")
+    cut = settled(found.join(often, "anchor"), "regions")
     # equal regions: all but the first repeat as a whole; anchors with one kind of region are done with that
-    earliest = F.struct(F.col("first_id").isNotNull().alias("known"), F.col("first_id").alias("id"), F.col("t").alias("t"),
-                        F.col("place").alias("place"))
+    earliest = F.struct("t", "place")
     # (tables that a join reads are stored: AQE splits a hot key only where both sides come from a shuffle of their own)
     firsts = settled(cut.groupBy("anchor", "r").agg(F.min(earliest).alias("earliest")), "firsts")
-    marked = cut.join(firsts, ["anchor", "r"]).withColumn("stays", earliest.eqNullSafe(F.col("earliest")))
+    marked = cut.join(firsts, ["anchor", "r"]).withColumn("stays", earliest == F.col("earliest"))
     marked = settled(marked.select("anchor", "t", "place", "stays"), "marked")
     first = F.floor(F.col("place") / 128)
     whole = marked.where("not stays").select("t", first.alias("first"), (first + F.col("place") % 128 + length - 1).alias("end"))
     left = marked.where("stays").drop("stays")
     mixed = settled(left.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
     left = settled(listed(left.join(mixed, "anchor")), "left")
-    left = settled(_cut_regions(first_texts(left), length, False), "bytes").join(texts, "t")
+    left = settled(_cut_regions(first_texts(left), length), "bytes")
     total = left.agg(F.sum(F.octet_length("region"))).head()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    dealt = left.select(F.pmod("anchor", F.lit(shards)).alias("shard"), F.col("first_id").alias("id"), "place", "t", "region")
-    dealt = dealt.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("id"), "t", "place")
+    dealt = left.select(F.pmod("anchor", F.lit(shards)).alias("shard"), "t", "place", "region")
+    dealt = dealt.repartition("shard").sortWithinPartitions("shard", "t", "place")
     parts = whole.union(_sort_shards(dealt, length)).groupBy("t").agg(F.collect_list(F.struct("first", "end")).alias("parts"))
-    parts = settled(parts.join(texts, "t"), "parts")
+    parts = settled(parts, "parts")
     done = settled(_removed(first_texts(parts)), "removed")
-    named = profiles.join(settled(texts.join(done, "t", "left"), "by-text"), "t")
+    changed = texts.join(done, "t", "left").select(F.col("sha256").alias("__sha"), "first_id", "n_removed", "n_spans", "kept_sha256", "spans")
+    named = profiled.drop("found").join(settled(changed, "by-text"), F.col("sha256") == F.col("__sha"))
     copy = ~F.col("id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= length)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     zero = F.lit(0).cast("long")
@@ -433,18 +472,3 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.when(copy, nothing).otherwise(own("kept_sha256", F.col("sha256"))).alias("kept_sha256"),
         F.when(copy, F.array(F.struct(zero.alias("start"), F.col("n_bytes").alias("end"))))
         .otherwise(F.col("spans")).alias("spans"))
-
-
-def profiled(rows: DataFrame) -> DataFrame:
-    """``rows`` (id, text) with ``h``, the hash of the text."""
-
-    def run(batches):
-        for batch in batches:
-            h = [text_hash((v.as_py() or "").encode()) for v in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h, pa.int64())], names=["id", "text", "h"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string, h long")
-
-
-def _repeats(profiles: DataFrame) -> bool:
-    return bool(profiles.groupBy("id", "t").count().where("count > 1").head(1))
