@@ -437,10 +437,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return out if once else out.dropDuplicates(["t"])
 
     listed = lambda df: df.groupBy("t").agg(F.collect_list(F.struct("anchor", "place")).alias("found"))
-    found = profiled.where("found is not null").select("row", "found").join(texts.where("row is not null").select("row", "t"), "row")
-    found = found.select("t", F.explode("found").alias("g")).select("g.anchor", "t", "g.place", "g.r")
+    found = profiled.where("found is not null").select("row", F.explode("found").alias("g")).select("g.anchor", "row", "g.place", "g.r")
     often = settled(found.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
-    cut = settled(found.join(often, "anchor"), "regions")
+    # copies that several tasks cut go here, where few regions are left: only the row that ``texts`` names stays
+    cut = found.join(often, "anchor").join(texts.where("row is not null").select("row", "t"), "row")
+    cut = settled(cut.select("anchor", "t", "place", "r"), "regions")
     # equal regions: all but the first repeat as a whole; anchors with one kind of region are done with that
     earliest = F.struct("t", "place")
     # (tables that a join reads are stored: AQE splits a hot key only where both sides come from a shuffle of their own)
