@@ -52,6 +52,15 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote. Everything that reads them must have been stored by then."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for file in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file)).getParent()
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with underscores added until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

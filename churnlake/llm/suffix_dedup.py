@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks, running_start, settled
+from churnlake.llm.common import blocks, discard, running_start, settled
 from churnlake.session import stage
 
 #: Bytes of an anchor: shorter ones are fewer, but more of them occur in strings that differ.
@@ -230,7 +230,7 @@ def _dense(high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 def suffix_array(text: np.ndarray, depth: int, in_memory: int = IN_MEMORY) -> Iterator[np.ndarray]:
     """Suffixes of ``text`` (numbers below NUMBERS, the last one and no other 0) in order of at least ``depth`` of them, bucket by bucket."""
-    text = text.astype(np.int64)
+    text = text.astype(np.int32)
     small = _types(text)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     seeds = _sorted_lms(text, small, lms, depth) if len(lms) else lms
@@ -277,6 +277,7 @@ def repeated_places(data: np.ndarray, sizes: np.ndarray, length: int, in_memory:
     at = np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)
     text[at] = data.astype(np.uint16) + 2
     start[at] = np.repeat(begins + sizes, sizes) - at >= length
+    del at
     out = np.zeros(len(text), bool)
     windows = np.lib.stride_tricks.sliding_window_view(text, length) if len(text) >= length else None
     for bucket in suffix_array(text, length, in_memory):
@@ -419,11 +420,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     get the same result each. Other columns are ignored; an empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    profiled = stage(profiles(rows.select("id", F.monotonically_increasing_id().alias("row"), "text"), length), "profiles")
+    with_regions = stage(profiles(rows.select("id", F.monotonically_increasing_id().alias("row"), "text"), length), "profiles")
+    has_regions = F.col("found").isNotNull()
+    profiled = stage(with_regions.withColumn("cut", has_regions).drop("found"), "texts")
     # a text's number is its place in the order of the corpus; ``row`` is a row of it that holds its regions
     texts = profiled.groupBy("sha256").agg(
         F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("f"), F.min("h").alias("h"),
-        F.min(F.when(F.col("found").isNotNull(), F.col("row"))).alias("row"))
+        F.min(F.when(F.col("cut"), F.col("row"))).alias("row"))
     texts = texts.select("sha256", F.col("f.known").alias("known"), F.col("f.id").alias("first_id"), "h", "row", F.lit(1).alias("one"))
     texts = running_start(texts, [], ["known", "first_id", "h", "sha256"], "one", "t")
     texts = stage(texts.select("t", "sha256", "first_id", "row"), "texts")
@@ -437,32 +440,36 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return out if once else out.dropDuplicates(["t"])
 
     listed = lambda df: df.groupBy("t").agg(F.collect_list(F.struct("anchor", "place")).alias("found"))
-    found = profiled.where("found is not null").select("row", F.explode("found").alias("g")).select("g.anchor", "row", "g.place", "g.r")
+    found = with_regions.where(has_regions).select("row", F.explode("found").alias("g")).select("g.anchor", "row", "g.place", "g.r")
     often = settled(found.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
     # copies that several tasks cut go here, where few regions are left: only the row that ``texts`` names stays
     cut = found.join(often, "anchor").join(texts.where("row is not null").select("row", "t"), "row")
     cut = settled(cut.select("anchor", "t", "place", "r"), "regions")
+    discard(with_regions, often)
     # equal regions: all but the first repeat as a whole; anchors with one kind of region are done with that
     earliest = F.struct("t", "place")
     # (tables that a join reads are stored: AQE splits a hot key only where both sides come from a shuffle of their own)
     firsts = settled(cut.groupBy("anchor", "r").agg(F.min(earliest).alias("earliest")), "firsts")
     marked = cut.join(firsts, ["anchor", "r"]).withColumn("stays", earliest == F.col("earliest"))
     marked = settled(marked.select("anchor", "t", "place", "stays"), "marked")
+    discard(cut, firsts)
     first = F.floor(F.col("place") / 128)
     whole = marked.where("not stays").select("t", first.alias("first"), (first + F.col("place") % 128 + length - 1).alias("end"))
     left = marked.where("stays").drop("stays")
     mixed = settled(left.groupBy("anchor").count().where("count > 1").select("anchor"), "mixed")
-    left = settled(listed(left.join(mixed, "anchor")), "left")
-    left = settled(_cut_regions(first_texts(left), length), "bytes")
+    kept = settled(listed(left.join(mixed, "anchor")), "left")
+    left = settled(_cut_regions(first_texts(kept), length), "bytes")
+    discard(mixed, kept)
     total = left.agg(F.sum(F.octet_length("region"))).head()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     dealt = left.select(F.pmod("anchor", F.lit(shards)).alias("shard"), "t", "place", "region")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "t", "place")
     parts = whole.union(_sort_shards(dealt, length)).groupBy("t").agg(F.collect_list(F.struct("first", "end")).alias("parts"))
     parts = settled(parts, "parts")
+    discard(marked, left)
     done = settled(_removed(first_texts(parts)), "removed")
     changed = texts.join(done, "t", "left").select(F.col("sha256").alias("__sha"), "first_id", "n_removed", "n_spans", "kept_sha256", "spans")
-    named = profiled.drop("found").join(settled(changed, "by-text"), F.col("sha256") == F.col("__sha"))
+    named = profiled.join(settled(changed, "by-text"), F.col("sha256") == F.col("__sha"))
     copy = ~F.col("id").eqNullSafe(F.col("first_id")) & (F.col("n_bytes") >= length)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     zero = F.lit(0).cast("long")
