@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from churnlake.llm.common import blocks, discard, running_start, settled
 from churnlake.session import stage
 
-#: Bytes of an anchor: shorter ones are fewer, but more of them occur in strings that differ.
-GRAM = 48
+#: Bytes of an anchor: shorter ones make fewer regions, but more of them occur in strings that differ.
+GRAM = 32
 AT_ONCE = 1 << 20
 SHARD_BYTES = 4 << 20
 #: Texts a task remembers, to cut copies into regions once.
