@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from churnlake.functions import values as V
 from churnlake.operators import store
-from churnlake.operators.cleaning import clean_customers
-from churnlake.session import stage
+from churnlake.operators.cleaning import clean_customers, store_segments
+from churnlake.session import new_path, stage
 from churnlake.sources.telco import raw_feed
 
 # Rule scores in basis points, as SQL that both engines run. They stand for model output.
@@ -39,6 +39,11 @@ def stored_customers(spark: SparkSession, folder: str) -> DataFrame:
     return stage(customers(spark, folder), "customers")
 
 
+def segmented_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers table in the layout that segment filters read."""
+    return store_segments(customers(spark, folder), new_path(spark, "segments"))
+
+
 def scored(spark: SparkSession, folder: str) -> DataFrame:
     df = customers(spark, folder).withColumn("label", V.flag(F.col("churn") == "Yes"))
     for model, name in SCORE_COLUMNS.items():

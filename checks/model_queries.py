@@ -31,6 +31,14 @@ def one_hot(s, d):
     return coded.select("customer_id", "is_train", *dummies)
 
 
+def one_hot_sparse(s, d):
+    """Slots of three columns, one of them as wide as the table."""
+    df, columns = I.stored_customers(s, d), ["contract", "payment_method", "customer_id"]
+    slots, width = encode.category_slots(df, columns)
+    return encode.one_hot_sparse(df, "customer_id", columns, slots).select(
+        "customer_id", F.array_join("slots", ",").alias("slots"), F.lit(width).cast("long").alias("width"))
+
+
 def _data(s, d):
     return plan.make_dataset(I.stored_customers(s, d))
 
@@ -194,6 +202,6 @@ def run_history(s, d):
     return board.join(versions, ["run_id", "model_name"])
 
 
-NAMES = [one_hot, smote, smote_uses, save_model, train_logistic, train_random_forest, train_gbt, train_gbt_weighted,
+NAMES = [one_hot, one_hot_sparse, smote, smote_uses, save_model, train_logistic, train_random_forest, train_gbt, train_gbt_weighted,
          train_gbt_column_sampled, random_search, feature_importance, permutation_importance,
          top_features_per_prediction, model_risk_scorecard, record_run, model_checks, explanation_checks, resumed_model, run_history]

@@ -422,6 +422,13 @@ def oracle() -> dict[str, str]:
         "tenure_group": ["13-24 Months", "25-48 Months", "49-60 Months", "60+ Months"],
     }
     coded = ", ".join(f"""{_flag(f"{c} = '{v}'")} AS "{c}_{v}\"""" for c, vs in dummies.items() for v in vs)
+    out["one_hot_sparse"] = _with("""SELECT customer_id, COALESCE(STRING_AGG(CAST(slot AS VARCHAR), ',' ORDER BY slot), '') AS slots,
+          (SELECT COUNT(*) FROM slotted) AS width FROM long LEFT JOIN slotted USING (column_no, category) GROUP BY customer_id""",
+          "customers", extra="""long AS (SELECT customer_id, 0 AS column_no, contract AS category FROM customers
+          UNION ALL SELECT customer_id, 1, payment_method FROM customers UNION ALL SELECT customer_id, 2, customer_id FROM customers),
+          placed AS (SELECT column_no, category, ROW_NUMBER() OVER (PARTITION BY column_no ORDER BY category) AS place
+          FROM (SELECT DISTINCT column_no, category FROM long WHERE category IS NOT NULL)),
+          slotted AS (SELECT column_no, category, ROW_NUMBER() OVER (ORDER BY column_no, category) - 1 AS slot FROM placed WHERE place > 1)""")
     out["one_hot"] = cust(f"""SELECT customer_id, ROW_NUMBER() OVER (PARTITION BY churn ORDER BY MD5(CONCAT('42|', customer_id)), customer_id)
         <= FLOOR(0.8::DOUBLE * COUNT(*) OVER (PARTITION BY churn) + 0.5) AS is_train, {coded} FROM customers""")
     out["smote"] = cust("""SELECT label, synthetic, n AS rows FROM (

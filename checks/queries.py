@@ -68,15 +68,15 @@ def clean_customers(s, d):
 
 
 def filter_churned(s, d):
-    return cleaning.filter_segment(I.customers(s, d), "churned").select("customer_id", "monthly_charges", "tenure")
+    return cleaning.filter_segment(I.segmented_customers(s, d), "churned").select("customer_id", "monthly_charges", "tenure")
 
 
 def filter_high_value(s, d):
-    return cleaning.filter_segment(I.customers(s, d), "high_value").select("customer_id", "churn", "contract")
+    return cleaning.filter_segment(I.segmented_customers(s, d), "high_value").select("customer_id", "churn", "contract")
 
 
 def filter_long_tenure(s, d):
-    return cleaning.filter_segment(I.customers(s, d), "long_tenure").select("customer_id", "churn", "monthly_charges")
+    return cleaning.filter_segment(I.segmented_customers(s, d), "long_tenure").select("customer_id", "churn", "monthly_charges")
 
 
 def filter_unexpired(s, d):

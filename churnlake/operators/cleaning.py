@@ -76,8 +76,20 @@ def clean_customers(raw: DataFrame, order: str = "ingest_seq") -> DataFrame:
     return dedupe_customers(df, order=order)
 
 
+def store_segments(df: DataFrame, path: str, ranges: int | None = None) -> DataFrame:
+    """Store customers so that a segment reads its part alone: a folder per churn value, in it files by range of tenure and charge.
+
+    Churn may be very uneven: ranges are cut over churn, tenure and charge together, so a hot value is many files.
+    Without ``ranges`` Spark cuts them to its advisory size, and a small table is one range.
+    """
+    order = ["churn", "tenure", "monthly_charges"]
+    dealt = df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).write.partitionBy("churn").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
 def filter_segment(df: DataFrame, segment: str) -> DataFrame:
-    """One of the segments the table is indexed for; the filter reaches the scan."""
+    """One of the segments. Over ``store_segments`` the churn filter prunes folders, the others reach the scan as pushed filters."""
     conditions: dict[str, Column] = {
         "churned": F.col("churn") == "Yes",
         "high_value": F.col("monthly_charges") > 50,
