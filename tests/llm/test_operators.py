@@ -356,6 +356,57 @@ def test_winnowing(request, name):
             assert r.fingerprint == ",".join(f"{v:08x}" for v in hashes)
 
 
+def brute_units(text):
+    """Words between blanks and line ends; characters of scripts without blanks, and of words over LONGEST characters, stand alone."""
+    unspaced = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                          "\uf900-\ufaff\U00020000-\U0003ffff])")
+    words = [u for u in unspaced.sub(r" \1 ", text or "").replace("\n", " ").split(" ") if u]
+    return [u for w in words for u in (w if len(w) > winnowing.LONGEST else [w])]
+
+
+def brute_hashes(text):
+    """Of each window of W k-grams the least hash, the rightmost of equal ones, a place once; None under K units."""
+    mask = (1 << 32) - 1
+    h = [xxhash.xxh64_intdigest(u.encode(), 42) & mask for u in brute_units(text)]
+    two = [(a * winnowing.FACTOR_1 + b) & mask for a, b in zip(h, h[1:])]
+    g = [(a * winnowing.FACTOR_2 + b) & mask for a, b in zip(two, two[2:])]
+    places = []
+    for i in range(max(1, len(g) - winnowing.W + 1) if g else 0):
+        place = min(range(i, min(i + winnowing.W, len(g))), key=lambda n: (g[n], -n))
+        if not places or places[-1] != place:
+            places.append(place)
+    return ",".join(f"{g[n]:08x}" for n in places) if g else None
+
+
+@pytest.mark.parametrize("name", ["odd", "docs"])
+def test_edited_fingerprints_and_likenesses(request, name):
+    df = request.getfixturevalue(name)
+    rows = sorted(df.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.text or ""))
+    got = winnowing.compare_edited(df).collect()
+    own, checked = {(r.doc_id, r.n_chars, r.edited_sha256): r for r in got}, 0
+
+    def alike(a, b):
+        a, b = ({v for v in x.split(",") if v} for x in (a, b))
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    def row_of(i):
+        text, after = rows[i % len(rows)].text or "", rows[(i + 1) % len(rows)].text or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + after[:half]
+        return own[rows[i % len(rows)].doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest()], text, edited
+
+    for i in range(len(rows)):
+        r, text, edited = row_of(i)
+        for found, of in ((r.fingerprint, text), (r.edited_fingerprint, edited)):
+            want = brute_hashes(of)
+            if want is not None:
+                checked += 1
+                assert found == want
+        assert r.near_edited == alike(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next == alike(r.fingerprint, row_of(i + 1)[0].fingerprint)
+    assert checked > len(rows) / 4
+
+
 def test_units_of_unspaced_text(spark):
     """Half of an unspaced text is found again after spaced text, and a shifted run is found as well."""
     rng = random.Random(6)
