@@ -356,6 +356,41 @@ def test_winnowing(request, name):
             assert r.fingerprint == ",".join(f"{v:08x}" for v in hashes)
 
 
+def brute_url(url, rules):
+    """(host, path, the longest rule that fits): strings alone, no patterns."""
+    if url is None or "://" not in url:
+        host = path = ""
+    else:
+        rest = url.split("://", 1)[1]
+        ends = [i for i, c in enumerate(rest) if c in "/?#"]
+        host, rest = (rest[:ends[0]], rest[ends[0]:]) if ends else (rest, "")
+        path = rest.split("?")[0].split("#")[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = []
+    for action, text in rules:
+        of, tail = text.split("/", 1)
+        if (host == of or host.endswith("." + of)) and path.startswith("/" + tail):
+            fits.append((len(text), text, action))
+    return host, path, *(max(fits)[1:] if fits else (None, None))
+
+
+def test_rules_over_all_pages(spark):
+    rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    top = pages.agg({"page_id": "max"}).head()[0]
+    urls = [None, "", "no scheme", "http://", "HTTP://EXAMPLE.com/en/x?y#z", "a://www.Example.COM/en/", "a://xwww.example.com/en/", "b://net/es/",
+            "b://a.net/es", "b://net?/es/", "b://com", "b://com/", "b://xcom/", "://a.b.com//", "x://y://z.com/", "b://a.net#/fr/", "b://\u00c9.com/"]
+    df = pages.union(spark.createDataFrame([(top + 1 + n, u) for n, u in enumerate(urls)], "page_id long, url string"))
+    want = {r.page_id: brute_url(r.url, rules) for r in df.collect()}
+    got = url_filter.judge(df, [url_filter.Rule(*r) for r in rules]).collect()
+    assert len(got) == len(want)
+    for r in got:
+        host, path, rule, action = want[r.page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert r.verdict == action if rule else r.verdict in ("allow", "block")
+    assert len({r.rule for r in got}) == len(rules) + 1
+
+
 def brute_units(text):
     """Words between blanks and line ends; characters of scripts without blanks, and of words over LONGEST characters, stand alone."""
     unspaced = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
