@@ -18,12 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import blocks, running_start
+from churnlake.llm.common import blocks
 from churnlake.session import stage
 
 TILE = 2048
-#: Numbers in the queries that are sent to the executors at a time.
-QUERY_NUMBERS = 1 << 21
+#: Components of the queries and of the candidates that meet in a cell, about.
+QUERY_NUMBERS, ROW_NUMBERS = 1 << 21, 1 << 19
 
 
 @dataclass
@@ -101,51 +101,71 @@ def search_tile(queries: Vectors, rows: Vectors, heaps: list[list[tuple[float, i
                 heapq.heapreplace(heaps[q], entry)
 
 
-def _search(candidates: DataFrame, queries: list[tuple], k: int) -> DataFrame:
-    shared = candidates.sparkSession.sparkContext.broadcast(queries)
-
-    def run(batches):
-        asked = {d: Vectors(*v) for d, v in shared.value}
-        heaps = {d: [[] for _ in v.ids] for d, v in asked.items()}
-        for batch in batches:
-            for d, rows in usable(batch.column(0), batch.column(1)).items():
-                if d in asked:
-                    for a, b in blocks(len(rows.ids), TILE):
-                        part = Vectors(*(x[a:b] for x in vars(rows).values()))
-                        for c, e in blocks(len(asked[d].ids), TILE):
-                            own = Vectors(*(x[c:e] for x in vars(asked[d]).values()))
-                            search_tile(own, part, heaps[d][c:e], k)
-        found = [(int(v.ids[n]), n, d, -r, s) for d, v in asked.items() for n, h in enumerate(heaps[d]) for s, r in h]
-        for a, b in blocks(len(found), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found[a:b])],
-                                             names=["query_id", "n", "d", "vec_id", "score"])
-
-    return candidates.mapInArrow(run, "query_id long, n long, d long, vec_id long, score double")
-
-
-def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _best_of_cell(k: int):
+    """Of one cell of the grid: the ``k`` best of its candidates (id, v) for each of its queries (n, id, v)."""
+
+    def run(candidates: pa.Table, queries: pa.Table) -> pa.Table:
+        found: list[tuple] = []
+        if candidates.num_rows and queries.num_rows:
+            rows = usable(candidates["id"].combine_chunks(), candidates["v"].combine_chunks())
+            asked = usable(queries["n"].combine_chunks(), queries["v"].combine_chunks())
+            own = dict(zip(queries["n"].to_pylist(), queries["id"].to_pylist()))
+            for d in rows.keys() & asked.keys():
+                numbers = asked[d].ids
+                asked[d].ids = np.array([own[n] for n in numbers.tolist()], np.int64)
+                heaps: list[list] = [[] for _ in numbers]
+                for a, b in blocks(len(rows[d].ids), TILE):
+                    part = Vectors(*(x[a:b] for x in vars(rows[d]).values()))
+                    for c, e in blocks(len(numbers), TILE):
+                        search_tile(Vectors(*(x[c:e] for x in vars(asked[d]).values())), part, heaps[c:e], k)
+                found += [(n, q, -r, s) for n, q, h in zip(numbers.tolist(), asked[d].ids.tolist(), heaps) for s, r in h]
+        columns = zip(*found) if found else ([], [], [], [])
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
+                        names=["n", "query_id", "vec_id", "score"])
+
+    return run
+
+
+def nearest(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
+            query_numbers: int = QUERY_NUMBERS, row_numbers: int = ROW_NUMBERS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest cosine of each row where ``is_query`` holds.
 
     All rows but those of the query's own id are candidates; ties go to the smaller id. Rows without id, null
     or zero vectors and vectors with null or non-finite components take no part; only vectors of one length
-    are compared. Queries are sent out in blocks of a bounded size, so any number of them can be asked;
-    a query row that is repeated is answered as often. Other columns are ignored.
+    are compared. A query row that is repeated is answered as often. Other columns are ignored; an empty table
+    gives an empty result.
+
+    Vectors of each length form a grid: queries are dealt at random to blocks of about ``query_numbers`` components,
+    candidates to blocks of about ``row_numbers``, and block meets block in a cell by an equal key. So a task holds two
+    blocks, whatever the table, a frequent id or vector fills no cell, and the plan does not grow with the queries.
     """
-    rows = stage(vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")), "vectors")
-    asked = rows.where(is_query(F.col("id")) & F.col("v").isNotNull()).withColumn("size", F.size("v").cast("long"))
-    asked = running_start(asked, [], ["id"], "size", "begin").withColumn("block", F.floor(F.col("begin") / QUERY_NUMBERS))
-    asked = stage(asked.select("id", "v", "block"), "queries")
-    out = None
-    for r in asked.select("block").distinct().orderBy("block").collect():
-        part = asked.where(F.col("block") == r["block"]).select("id", "v").orderBy("id").toArrow().combine_chunks()
-        if not part.num_rows:
-            continue
-        found = usable(part.column(0).combine_chunks(), part.column(1).combine_chunks())
-        if found:
-            one = _search(rows, [(d, tuple(vars(v).values())) for d, v in found.items()], k).withColumn("b", F.lit(r["block"]))
-            out = one if out is None else out.union(one)
-    if out is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    best = Window.partitionBy("b", "d", "n", "query_id").orderBy(F.desc("score"), "vec_id")
-    return (out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where("id is not null and size(v) > 0")
+    rows = stage(rows.withColumns({"d": F.size("v"), "asks": is_query(F.col("id")), "n": F.monotonically_increasing_id()}), "vectors")
+    grid = rows.groupBy("d").agg(F.ceil(F.count("*") * F.col("d") / row_numbers).alias("cells"),
+                                 F.ceil(F.count_if("asks") * F.col("d") / query_numbers).alias("parts"))
+    dealt = rows.join(stage(grid.where("parts > 0"), "grid"), "d")
+    place = F.xxhash64("n")
+    candidates = dealt.select("d", F.pmod(place, F.col("cells")).alias("cell"),
+                              F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "id", "v")
+    queries = dealt.where("asks").select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"),
+                                         F.pmod(place, F.col("parts")).alias("part"), *[F.col(c).alias(c) for c in ("d", "n", "id", "v")])
+    key = ["d", "part", "cell"]
+    found = candidates.groupBy(*key).cogroup(queries.groupBy(*key)).applyInArrow(
+        _best_of_cell(k), "n long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("n").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+#: The same search by all pairs. DuckDB.
+NEAREST_SQL = """
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) / (q.norm * c.norm) AS score
+    FROM n q JOIN n c ON len(q.e) = len(c.e) AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

@@ -84,5 +84,5 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_simhash_near_dedup, op3_suffix_dedup, op4_quote_chat, op5_mixing, op6_packing, op7_winnowing,
                                   op8_pii, op9_language_id, op10_block_search, op11_ball_search, op12_quality_rules, op13_prefix_trie)}
-ORACLE: dict[str, str] = {"op11_ball_search": ball_search.RANK_SQL, "op12_quality_rules": quality_rules.JUDGE_SQL,
-                          "op13_prefix_trie": prefix_trie.TRIE_SQL}
+ORACLE: dict[str, str] = {"op10_block_search": block_search.NEAREST_SQL, "op11_ball_search": ball_search.RANK_SQL,
+                          "op12_quality_rules": quality_rules.JUDGE_SQL, "op13_prefix_trie": prefix_trie.TRIE_SQL}

@@ -520,6 +520,24 @@ def test_search(spark):
     assert block_search.nearest(df.limit(0), lambda c: c % 50 == 0).count() == 0
 
 
+def test_search_over_many_cells(spark):
+    """Blocks of a few vectors, a vector and an id that fill a third of the rows each, repeated queries: as in one cell."""
+    rng = np.random.default_rng(9)
+    vectors = [(i, rng.normal(size=8).tolist()) for i in range(120)]
+    vectors += [(1000 + i, vectors[7][1]) for i in range(120)] + [(50, rng.normal(size=8).tolist()) for _ in range(120)]
+    vectors += [(7, [1.0, 2.0, float(i)]) for i in range(9)] + [(100, [1.0, 2.0, 2.5])] * 2
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    asked = lambda c: c % 50 == 0
+    whole = block_search.nearest(df, asked)
+    got = block_search.nearest(df, asked, query_numbers=64, row_numbers=100)
+    assert sorted(got.collect()) == sorted(whole.collect())
+    assert got.where("query_id = 50").count() == 5 * 121
+    short = [r for r in got.where("query_id = 100").collect() if r.vec_id == 7]
+    assert len(short) == 2 * 5  # of their own length only, their own id left out
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CoGroup") == 1 and "Union" not in plan
+
+
 def test_reply_order(spark):
     rows = [(1, 0, "u", "Hello there\nsecond line"), (1, 1, "a", "Something else"), (1, 2, "u", "> hello   there\n> second line\nmy answer"),
             (1, 3, "a", "> > Hello there\n> my answer\nI see"), (1, 4, "u", "> Something else\nok"), (1, 5, "a", "> second line\nlate reply"),
