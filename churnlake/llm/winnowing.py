@@ -18,8 +18,8 @@ K, W = 4, 8
 LONGEST = 64
 #: Thai, Lao, Burmese, Khmer, kana, Han.
 UNSPACED = "([\\u0e00-\\u0eff\\u1000-\\u109f\\u1780-\\u17ff\\u3040-\\u30ff\\u3400-\\u4dbf\\u4e00-\\u9fff\\uf900-\\ufaff\\x{20000}-\\x{3ffff}])"
-#: Ranges that rows are dealt to at most, and the characters of the text that part equal ids.
-MOST_RANGES, PREFIX = 4096, 32
+#: Characters of the text that order equal ids.
+PREFIX = 32
 MASK = (1 << 32) - 1
 #: Factors of the polynomial, by one and by two units. Below 2**31, so that products with 32-bit hashes stay below 2**63.
 FACTOR_1, FACTOR_2 = 1_566_083_941, 1_812_433_253
@@ -95,51 +95,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.select(F.col("id").alias(id_col), hashes(F.col("kept")).alias("hashes"), positions(F.col("kept")).alias("positions"))
 
 
-def _starts(keys: DataFrame, ranges: int) -> DataFrame:
-    """(id, prefix) of the first row of each of about ``ranges`` equal ranges of ``keys`` (id, prefix), but the first range's."""
-    dealt = keys.repartitionByRange(ranges, F.desc_nulls_last("id"), "prefix").withColumn("range", F.spark_partition_id())
-    dealt = stage(dealt, "ranges")
-    heads = dealt.groupBy("range").agg(F.max("id").alias("head")).withColumnRenamed("range", "of")
-    firsts = dealt.join(F.broadcast(heads), (F.col("range") == F.col("of")) & F.col("id").eqNullSafe(F.col("head")))
-    firsts = firsts.groupBy("range", "id").agg(F.min("prefix").alias("prefix"))
-    lowest = heads.agg(F.min("of")).head()[0]
-    return firsts.where(F.col("range") != F.lit(lowest)).orderBy("range").select("id", "prefix")
+def with_next(docs: DataFrame, columns: list[str], prepare=lambda df: df, per_chunk: int = 1 << 20) -> DataFrame:
+    """``prepare`` applied to ``docs`` (id, text and others), and ``next_c`` for each of ``columns``: the values of the next row by falling id.
 
-
-def _chunk(starts: list, kind: str) -> Column:
-    """How many of ``starts`` are at or before the row: first among every sixty-fourth of them, then among the next ones."""
-    if not starts:
-        return F.lit(0).cast("long")
-    id_, prefix = F.col("id"), F.coalesce(F.substring("text", 1, PREFIX), F.lit(""))
-
-    def reached(start: Column) -> Column:
-        later = F.coalesce(id_ < start["id"], F.lit(False)) | (id_.isNull() & start["id"].isNotNull())
-        return later | (id_.eqNullSafe(start["id"]) & (prefix >= start["prefix"]))
-
-    def listed(some: list) -> Column:
-        return F.array(*[F.struct(F.lit(r["id"]).cast(kind).alias("id"), F.lit(r["prefix"]).alias("prefix")) for r in some])
-
-    blocks = [starts[n:n + 64] for n in range(0, len(starts), 64)]
-    block = F.greatest(F.size(F.filter(listed([b[0] for b in blocks]), reached)), F.lit(1))
-    within = F.size(F.filter(F.element_at(F.array(*[listed(b) for b in blocks]), block), reached))
-    return ((block - 1) * 64 + within).cast("long")
-
-
-def with_next(docs: DataFrame, columns: list[str], prepare, per_chunk: int = 512) -> DataFrame:
-    """``prepare`` applied to ``docs`` (id, text), and ``next_c`` for each of ``columns``: the values of the next row by falling id.
-
-    After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt by rank: starts of equal
-    ranges of (id, first PREFIX characters) are found on these alone, then each row is moved once, to its range. The
-    first row of each range goes to the range before it as well. Rows that agree in id and these characters share a range.
+    After the last row comes the first. Equal ids go by text, null ids come last. Rows are dealt by range of (id, text) to
+    chunks of about ``per_chunk`` and stored with the number of their chunk; only the first row of each chunk moves on,
+    to the chunk before. Rows that agree in id and text share a chunk.
     """
-    keys = docs.select("id", F.coalesce(F.substring("text", 1, PREFIX), F.lit("")).alias("prefix"))
-    ranges = min(MOST_RANGES, docs.count() // per_chunk)
-    starts = _starts(keys, ranges).collect() if ranges > 1 else []
-    dealt = docs.withColumn("chunk", _chunk(starts, docs.schema["id"].dataType.simpleString()))
-    heads = dealt.groupBy("chunk").agg(F.max("id").alias("head")).withColumnRenamed("chunk", "of")
-    first = dealt.join(F.broadcast(heads), (F.col("chunk") == F.col("of")) & F.col("id").eqNullSafe(F.col("head")))
-    first = first.groupBy("chunk", "id").agg(F.min(F.struct("text")).alias("first"))
-    guests = stage(first.select("id", "first.text", F.pmod(F.col("chunk") - 1, F.lit(len(starts) + 1)).alias("chunk")), "guests")
+    chunks = max(1, docs.count() // per_chunk)
+    dealt = docs.repartitionByRange(chunks, F.desc_nulls_last("id"), F.asc_nulls_first("text")).withColumn("chunk", F.spark_partition_id())
+    dealt = stage(dealt, "dealt")
+    heads = dealt.groupBy("chunk").agg(F.max("id").alias("head"))
+    around = Window.orderBy("chunk")  # a row per chunk
+    last = F.max("chunk").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select(F.col("chunk").alias("of"), "head", F.coalesce(F.lag("chunk").over(around), last).alias("to"))
+    first = dealt.join(heads, (F.col("chunk") == F.col("of")) & F.col("id").eqNullSafe(F.col("head")))
+    others = [c for c in docs.columns if c not in ("id", "text")]
+    first = first.groupBy("to", "id").agg(F.min(F.struct("text", *others)).alias("first"))
+    guests = stage(first.select("id", "first.text", *[f"first.{c}" for c in others], F.col("to").alias("chunk")), "guests")
     both = prepare(dealt.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
     order = Window.partitionBy("chunk").orderBy("guest", F.desc_nulls_last("id"), F.asc_nulls_first("text"))
     nexts = {f"next_{c}": F.lead(c).over(order) for c in columns}
@@ -151,16 +124,39 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     In the edited text the last floor(n / 2) of the n code points are replaced by the first as many of the next
     document by falling id. A null text counts as empty; two texts without any unit are alike (1.0). A single
-    document is its own next. Rows that repeat an id keep their rows; other columns are ignored.
+    document is its own next. Rows that repeat an id keep their rows and follow one another by the first PREFIX
+    characters of their texts, then by hash; null ids come last. Other columns are ignored.
+
+    Which row follows which is found on ids and 128-bit hashes alone. Texts move once, by these, and half as much again
+    goes to the row before; equal rows move once and follow one another.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    pairs = with_next(rows, ["text", "fp"],
-                      lambda df: with_winnow(df, "text", "kept").withColumn("fp", compact(F.col("kept"))).drop("kept"))
-    half = F.floor(F.length("text") / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half))
-    pairs = pairs.withColumn("edited", edited).withColumn("n_chars", F.length("text").cast("long")).drop("text", "next_text")
-    pairs = with_winnow(pairs, "edited", "kept").withColumn("edited_fp", compact(F.col("kept")))
-    return pairs.select(
+    digits = [F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64("text"), F.xxhash64(F.lit(1), F.col("text")))]
+    rows = rows.withColumn("row", F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), *digits))
+    prefix = F.concat(F.substring("text", 1, PREFIX), F.lit("\0"), *digits)  # orders rows of one id
+    keys = rows.select("id", "row", prefix.alias("text"), F.length("text").cast("long").alias("n_chars"))
+    keys = stage(keys.groupBy("id", "text", "row", "n_chars").agg(F.count("*").alias("copies")), "keys")
+    pairs = stage(with_next(keys, ["row"]).drop("text"), "pairs")
+    texts = with_winnow(rows.select("row", "text"), "text", "kept").withColumn("fp", compact(F.col("kept")))
+    texts = texts.groupBy("row").agg(F.any_value(F.struct("text", "fp")).alias("own"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    guests = texts.withColumnRenamed("row", "next_row").join(pairs, "next_row").select(
+        F.col("row").alias("to"), "id", "n_chars", "copies", _following(half, "own").alias("next"))
+    met = texts.join(guests, F.col("row") == F.col("to"))
+    later = F.struct("next", F.lit(1).cast("long").alias("times"))
+    again = F.struct(_following(half, "own").alias("next"), (F.col("copies") - 1).alias("times"))
+    met = met.withColumn("step", F.explode(F.when(F.col("copies") > 1, F.array(later, again)).otherwise(F.array(later))))
+    text, after = F.col("own.text"), F.col("step.next")
+    edited = F.concat(F.substring(text, F.lit(1), F.col("n_chars").cast("int") - half), after["text"])
+    met = met.select("id", "n_chars", F.col("own.fp").alias("fp"), edited.alias("edited"), after["fp"].alias("next_fp"), F.col("step.times").alias("times"))
+    met = with_winnow(met, "edited", "kept").withColumn("edited_fp", compact(F.col("kept")))
+    found = met.select(
         F.col("id").alias(id_col), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("edited_fp")).alias("edited_fingerprint"), likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"), "times")
+    return found.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times", "time")
+
+
+def _following(half: Column, own: str) -> Column:
+    """What the row before needs of a row: as many characters as it loses, and the fingerprint."""
+    return F.struct(F.substring(F.col(f"{own}.text"), F.lit(1), half).alias("text"), F.col(f"{own}.fp").alias("fp"))
