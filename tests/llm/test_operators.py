@@ -502,6 +502,25 @@ def test_url_rules(spark):
     assert url_filter.judge(df.limit(0), RULES).count() == 0
 
 
+def test_rates_leave_out_their_own_fold(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a.com", "b.net", "c.org"]), rng.randrange(5), float(rng.random() < 0.3)) for _ in range(200)] + [("one.de", 2, 1.0)]
+    df = spark.createDataFrame(rows, "domain string, fold int, label double")
+    got = {(r.domain, r.fold): (r.domain_rate, r.domain_seen) for r in url_filter.suffix_rates(df, "domain", out_of_fold=True).collect()}
+    assert set(got) == {(d, f) for d, f, _ in rows}
+    for (domain, fold), (rate, seen) in got.items():
+        labels = [x for d, f, x in rows if d == domain and f != fold]
+        assert rate == pytest.approx((sum(labels) + 10) / (len(labels) + 20)) and seen == pytest.approx(math.log1p(len(labels)))
+    assert got["one.de", 2] == (0.5, 0.0)  # as a suffix never seen
+
+
+def test_trees_rank_held_out_urls(spark):
+    from churnlake.llm.queries import RULES
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    assert url_filter.held_out_auc(pages, RULES) > 0.7
+    assert url_filter.held_out_auc(pages.limit(0), RULES) is None
+
+
 def test_search(spark):
     rng = np.random.default_rng(4)
     vectors = [(i, [float(np.float32(x)) for x in rng.normal(size=16)]) for i in range(230)]
