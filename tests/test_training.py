@@ -102,3 +102,16 @@ def test_models_can_be_staged_after_training(data):
         model = T.fit(stage(encode.with_vector(data.train)), name, params)
         assert not any(getattr(step, "hasSummary", False) for step in model.stages)
         assert plan.scores_of(model, data.test).count() == data.test.count()
+
+
+def test_models_of_few_rows_are_fitted_on_all_cores(data, spark, monkeypatch):
+    """Small tables: as many models at a time as there are cores, with the values of one after the other."""
+    assert T.fits_at_once(spark, 1_000, 2) == spark.sparkContext.defaultParallelism
+    assert T.fits_at_once(spark, 10**9, 2) == 2
+    asked, real = [], T.in_parallel
+    monkeypatch.setattr(T, "in_parallel", lambda s, work, jobs, n: asked.append(n) or real(s, work, jobs, n))
+    folded = stage(split.stratified_folds(data.train, "label", folds=2))
+    points = T.draw_parameters(LOGISTIC["Logistic Regression"], 2)
+    several = T.random_search(folded, "Logistic Regression", points, "roc_auc", False, 2, parallelism=2)
+    assert asked == [spark.sparkContext.defaultParallelism]
+    assert several == T.random_search(folded, "Logistic Regression", points, "roc_auc", False, 2, parallelism=1)
