@@ -115,3 +115,12 @@ def test_models_of_few_rows_are_fitted_on_all_cores(data, spark, monkeypatch):
     several = T.random_search(folded, "Logistic Regression", points, "roc_auc", False, 2, parallelism=2)
     assert asked == [spark.sparkContext.defaultParallelism]
     assert several == T.random_search(folded, "Logistic Regression", points, "roc_auc", False, 2, parallelism=1)
+
+
+def test_permuted_rows_are_dealt_to_bounded_tasks(data, monkeypatch):
+    """No task makes more moved rows than allowed, whatever it got; the rows are the same."""
+    want = sorted(map(tuple, T.permuted(data.test, [0, 3]).collect()))
+    monkeypatch.setattr(T, "ROWS_MOVED", 100)
+    moved = T.permuted(data.test, [0, 3])
+    assert moved.rdd.getNumPartitions() >= len(want) / 100
+    assert sorted(map(tuple, moved.collect())) == want
