@@ -124,3 +124,16 @@ def test_permuted_rows_are_dealt_to_bounded_tasks(data, monkeypatch):
     moved = T.permuted(data.test, [0, 3])
     assert moved.rdd.getNumPartitions() >= len(want) / 100
     assert sorted(map(tuple, moved.collect())) == want
+
+
+def test_models_of_few_rows_are_trained_side_by_side(data, monkeypatch):
+    """Folds are prepared and searches run at the same time, with the results of one after the other."""
+    asked, real = [], T.in_parallel
+    monkeypatch.setattr(T, "in_parallel", lambda s, work, jobs, n: asked.append((len(jobs), n)) or real(s, work, jobs, n))
+    options = {"grids": {"Logistic Regression": {"C": [1.0]}, "Random Forest": {"n_estimators": [2], "max_depth": [2]}},
+               "draws": {"Logistic Regression": 1, "Random Forest": 1}, "use_smote": False, "folds": 3}
+    several = plan.train_and_evaluate(data, **options)
+    assert (3, 3) in asked and asked.count((2, 2)) >= 2     # three folds; two searches; the two last fits of a model
+    one = plan.train_and_evaluate(data, **options, parallelism=1)
+    assert [(r.name, r.params, r.metrics) for r in several[0]] == [(r.name, r.params, r.metrics) for r in one[0]]
+    assert sorted(map(tuple, several[1].collect())) == sorted(map(tuple, one[1].collect()))
