@@ -49,3 +49,23 @@ def test_repeatable_and_copies(spark):
     df = stage(spark.createDataFrame(rows, "customer_id string, x array<double>, label int"))
     first = sorted(map(str, smote(df).collect()))
     assert len(first) == 10 and first == sorted(map(str, smote(df).collect()))
+
+
+def test_vectors_are_sent_to_few_cells(spark, monkeypatch):
+    """Groups lie apart along two features of 42: cuts along them bound the search, and lone vectors ask for few cells too."""
+    import churnlake.ml.smote as module
+
+    asked, search = [], module._searched
+    monkeypatch.setattr(module, "_searched", lambda rows, cells, k: asked.append(rows.count()) or search(rows, cells, k))
+    rng = np.random.default_rng(1)
+    x = np.concatenate([np.repeat(rng.integers(0, 40, (25, 2)) * 10.0, 40, axis=0), rng.integers(0, 2, (1000, 40)) + rng.random((1000, 40)) / 10], axis=1)
+    x = np.concatenate([x, np.eye(42)[:2] * 1e6])
+    df = stage(spark.createDataFrame([(f"v{i:04}", r.tolist()) for i, r in enumerate(x)], "vid string, x array<double>"))
+    got = {}
+    for r in nearest_vectors(df, 5, 64).collect():
+        got.setdefault(r["vid"], []).append(r["distance"])
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    for i, want in enumerate(np.sort(d, axis=1)[:, :5]):
+        assert sorted(got[f"v{i:04}"]) == pytest.approx(want.tolist(), abs=1e-9)
+    assert asked[-1] < 2 * len(x)
