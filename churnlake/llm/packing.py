@@ -27,8 +27,8 @@ from churnlake.session import stage
 
 WINDOW = 4096
 END_ID = 2
-#: At about 250 bytes a word; a worker forgets all words beyond.
-WORDS_KEPT = 1_000_000
+#: At about 250 bytes a word; a worker forgets all words beyond. Workers hold them while they run other stages too.
+WORDS_KEPT = 200_000
 
 
 class Encoder:
