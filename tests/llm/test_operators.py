@@ -603,3 +603,15 @@ def test_pipeline(spark, docs):
     assert pieces.groupBy("doc_id").agg(F.sum("length").alias("n")).agg(F.sum("n")).head()[0] == sum(
         len(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(r.text, add_special_tokens=False).ids) + 1
         for r in mixed.collect())
+
+
+def test_workers_keep_few_words():
+    """Words that the encoder keeps are bounded, and forgetting them changes no ids."""
+    encoder = packing.Encoder(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = [" ".join("".join(letters[i // 26 ** p % 26] for p in range(4)) for i in range(a, a + 10_000)) for a in range(0, 250_000, 10_000)]
+    first, most = encoder(text[0]), 0
+    for one in text:
+        encoder(one)
+        most = max(most, len(encoder.kept))
+    assert most <= 210_000 and encoder(text[0]) == first
