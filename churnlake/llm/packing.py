@@ -31,12 +31,27 @@ END_ID = 2
 WORDS_KEPT = 200_000
 
 
+class KeptWords(dict):
+    """Token ids by word. A word that is not there is encoded by itself; all are forgotten at ``WORDS_KEPT``."""
+
+    def __init__(self, model, spelling: dict[int, str]):
+        super().__init__()
+        self.model, self.spelling = model, spelling
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        spelt = word if word.isascii() else word.translate(self.spelling)
+        ids = self[word] = np.array([t.id for t in self.model.tokenize(spelt)], "<u4").tobytes()
+        return ids
+
+
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes, for a tokenizer that lower-cases and splits words.
 
-    The tokenizer encodes every word (pre-token) by itself, so ids are kept by word; the new words of a text
-    are encoded in one call. Texts with characters outside of Latin letters, digits, usual
-    punctuation and white space, or with ``<|``, go to the tokenizer whole.
+    The tokenizer's model encodes every word (pre-token) by itself, so ids are kept by word, and a new word
+    goes to the model alone, spelt as the pre-tokenizer spells it. Texts with characters outside of Latin
+    letters, digits, usual punctuation and white space, or with ``<|``, go to the tokenizer whole.
     """
 
     def __init__(self, definition: str):
@@ -46,27 +61,17 @@ class Encoder:
         latin = [chr(c) for c in (*range(0x20, 0x7F), *range(0xA1, 0x250)) if c != 0xAD]
         letters = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "L")
         numbers = "".join(re.escape(c) for c in latin if unicodedata.category(c)[0] == "N")
-        self.other = re.compile(rf"[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]|<\||[İŉ]")
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
-        self.kept: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        ends = (4 * np.cumsum(np.bincount(np.array(found.word_ids), minlength=len(words)))).tolist()
-        self.kept.update(zip(words, (ids[a:b] for a, b in zip([0, *ends], ends))))
+        self.ascii = bytes([*b"\t\n\r", *range(0x20, 0x7F)])
+        usual = [c for c in latin if not c.isascii() and c != "ŉ" and set(c.lower()) <= set(latin)]
+        self.other = re.compile(f"[^{''.join(map(re.escape, usual))}]")
+        self.words = re.compile(rf"[{letters}]+|[{numbers}]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{letters}{numbers}]+")
+        spell = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.kept = KeptWords(self.tokenizer.model, {ord(c): spell(c)[0][0] for c in usual})
 
     def __call__(self, text: str) -> bytes:
-        if self.other.search(text):
+        if "<|" in text or self.other.search(text.encode().translate(None, self.ascii).decode()):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = self.words.findall(text.lower())
-        try:
-            return b"".join(map(self.kept.__getitem__, words))
-        except KeyError:
-            if len(self.kept) >= WORDS_KEPT:
-                self.kept.clear()
-            self._learn(list(set(words).difference(self.kept)))
-            return b"".join(map(self.kept.__getitem__, words))
+        return b"".join(map(self.kept.__getitem__, self.words.findall(text.lower())))
 
 
 def encoder_of(definition: str) -> Encoder:

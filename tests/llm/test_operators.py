@@ -615,3 +615,15 @@ def test_workers_keep_few_words():
         encoder(one)
         most = max(most, len(encoder.kept))
     assert most <= 210_000 and encoder(text[0]) == first
+
+
+def test_new_words_go_to_the_model_alone():
+    """Words of usual texts are encoded one by one, without the tokenizer's costly passes over whole texts."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), packing.Encoder(open(path, encoding="utf-8").read())
+    texts = [f"a{c}b {c} {c}{c}1{c}'s'LL x{c}'" for c in map(chr, range(0x300))] + ["K Å ẞß", "a < | b", "é<|é"]
+    for text in texts:
+        assert np.frombuffer(encoder(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    encoder.tokenizer = None
+    for text in ("New WORDS, it's 12!", "Größe çà\tñandú\r\nœuvre ²"):
+        assert np.frombuffer(encoder(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
