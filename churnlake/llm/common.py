@@ -93,26 +93,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps until the edges form stars around the least
     node of each component. No step gathers a node's neighbours in one row, so a node with
-    very many links only makes the joins skewed, which AQE splits.
+    very many links only makes the joins skewed, which AQE splits. The number of edges never
+    grows, so each table is written in as many files as the rows of the one before are worth.
     """
     now = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while True:
-        after = stage(small_star(large_star(now)), "edges")
+        after = stage(small_star(large_star(now)), "edges", now.count())
         if is_empty(after.exceptAll(now)) and is_empty(now.exceptAll(after)):
             return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
         now = after
 
 
-def running_start(df: DataFrame, group: list[str], order: list[str], size: str, name: str) -> DataFrame:
+def running_start(df: DataFrame, group: list[str], order: list[str], size: str, name: str, rows: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``size`` over the rows before, by ``order`` within ``group``.
 
     Rows are dealt by range of (group, order) and stored with the number of their range, so
     a group of any size is spread; sums of ranges, one row per group and range, are added up
     first, and each range then needs only its own rows. Rows that agree in group and order
     land in one range, in any order that is the same for equal inputs up to exchange of equal rows.
+    ``rows``: how many rows ``df`` has, if that is known and they are narrow; see ``stage``.
     """
     ranges = df.repartitionByRange(*[F.col(c) for c in group + order]).withColumn("__range", F.spark_partition_id())
-    stored = stage(ranges, "ranges")
+    stored = stage(ranges, "ranges", rows)
     sums = stored.groupBy(*group, "__range").agg(F.sum(size).alias("__sum"))
     before = Window.partitionBy(*group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__start", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")

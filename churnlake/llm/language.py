@@ -23,6 +23,8 @@ from churnlake.llm.common import blocks, in_pieces, unused, utf8
 ORDER = 3
 UNKNOWN = "und"
 AT_ONCE = 1 << 19
+#: Bytes whose contexts are looked up at once; each takes about 50 bytes of memory meanwhile.
+LOOKED_UP = 1 << 17
 LETTER = r"\p{L}"
 
 
@@ -53,7 +55,7 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     """(lang, gram, n): how often each byte follows each three bytes, by language."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, 1, 4 * AT_ONCE)):
             langs = np.array(batch.column(0).to_pylist(), object)
             for lang in sorted(set(langs)):
                 texts = batch.column(1).filter(pa.array(langs == lang))
@@ -161,7 +163,7 @@ def code_lengths(model: Model, column: pa.Array) -> np.ndarray:
     flat = model.bits.reshape(-1, len(model.languages))
     begins = starts - ORDER  # a symbol is counted where its context begins
     out = np.zeros((len(starts), len(model.languages)))
-    for a, b in blocks(len(data) - ORDER, AT_ONCE):
+    for a, b in blocks(len(data) - ORDER, LOOKED_UP):
         part = symbol[data[a:b + ORDER]]
         context = (part[:-3] * size + part[1:-2]) * size + part[2:-1]
         cost = flat[model.row[context].astype(np.int64) * size + part[3:]]

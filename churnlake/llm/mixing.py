@@ -183,7 +183,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     spark = docs.sparkSession
     rows = stage(with_size(docs, id_col, text_col, source_col), "sizes")
-    sources = plan(rows, weights, share, most, block)
+    sources, count = plan(rows, weights, share, most, block), rows.count()
     number = F.lit(None).cast("long")
     for start in range(0, len(sources), 1000):
         part = F.create_map(*[F.lit(x) for i, s in enumerate(sources[start:start + 1000], start) if s.name is not None
@@ -191,8 +191,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         if part is not None:
             number = F.coalesce(number, F.try_element_at(part, F.col("source")).cast("long"))
     number = F.when(F.col("source").isNull(), F.lit(len(sources) - 1).cast("long")).otherwise(number)
-    rows = running_start(rows.withColumn("source_no", number), ["source_no"], ["id", "tie"], "size", "begin")
-    rows = stage(rows, "begins")
+    rows = running_start(rows.withColumn("source_no", number), ["source_no"], ["id", "tie"], "size", "begin", count)
+    rows = stage(rows, "begins", count)
     first, last = F.floor(F.col("begin") / block), F.floor((F.col("begin") + F.col("size") - 1) / block)
     pieces = rows.where("size > 0").select("source_no", "id", "tie", "size", "begin", F.explode(F.sequence(first, last)).alias("block"))
     start = F.greatest(F.col("block") * block - F.col("begin"), F.lit(0))

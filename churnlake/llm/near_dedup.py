@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import components, is_empty, unused
+from churnlake.llm.common import components, in_pieces, is_empty, unused
 from churnlake.llm.simhash import fingerprint, with_fingerprint
 from churnlake.session import stage
 
@@ -98,8 +98,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Other columns are ignored. An empty table gives an empty result.
     """
     rows = stage(with_fingerprint(docs, id_col, text_col, words_in_shingle), "fingerprints")
-    fps = stage(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "fps")
-    roots = stage(components(links(fps.select("fp"), crowded)), "roots")
+    fps = stage(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "fps", rows.count())
+    roots = components(links(fps.select("fp"), crowded))
     rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
@@ -117,16 +117,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     mark, at = unused(docs, "__mark"), docs.columns.index(text_col)
 
     def append(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, at)):
             found = np.array([fingerprint((v.as_py() or "").encode()) for v in batch.column(at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, mark])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), f"`{mark}` long"])
     marked = stage(docs.mapInArrow(append, schema), "marked")
-    fps = stage(marked.where(F.col(id_col).isNotNull()).groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("least")), "fps")
-    all_fps = stage(marked.select(F.col(mark).alias("fp")).distinct(), "all-fps")
-    roots = stage(components(links(all_fps)), "roots")
-    rooted = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    fps = stage(marked.groupBy(F.col(mark).alias("fp")).agg(F.min(id_col).alias("least")), "fps", marked.count())
+    roots = components(links(fps.select("fp")))
+    rooted = fps.where(F.col("least").isNotNull()).join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     best = rooted.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("best")).select(
         F.col("best.least").alias(id_col), F.col("best.fp").alias(mark))
     out = marked.join(best, [id_col, mark], "left_semi").select(*marked.columns)

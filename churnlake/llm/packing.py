@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlake.llm.common import running_start
-from churnlake.session import stage
+from churnlake.llm.common import in_pieces, running_start
+from churnlake.session import few_tasks, stage
 
 WINDOW = 4096
 END_ID = 2
@@ -94,7 +94,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         encoder = encoder_of(definition.value)
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, 1)):
             ids, rows = [], []
             for i, text in enumerate(batch.column(1)):
                 tokens = encoder(text.as_py() or "") + end
@@ -188,9 +188,9 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     """
     cut = stage(pieces(docs, tokenizer_file, id_col, text_col, window, end_id), "pieces")
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
-    table = docs.sparkSession.sparkContext.broadcast(places(min_bin_slack(counts, window)))
+    table, total = docs.sparkSession.sparkContext.broadcast(places(min_bin_slack(counts, window))), sum(counts.values())
     ranked = running_start(cut.withColumn("one", F.lit(1).cast("long")), ["length"], ["id", "start", "ids_crc32"],
-                           "one", "rank").drop("one")
+                           "one", "rank", total).drop("one")
 
     def run(batches):
         where = table.value
@@ -211,5 +211,5 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
                 names=["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     kind = cut.schema["id"].dataType.simpleString()
-    return ranked.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
+    return few_tasks(ranked, total).mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                                   "sequence_id long, offset long").withColumnRenamed("id", id_col)

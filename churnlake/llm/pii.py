@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlake.llm.common import in_pieces
+
 #: Order in which spans are listed; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "secret")
 BASE = KINDS[:4]
@@ -204,7 +206,7 @@ def masked(docs: DataFrame, columns: list[str], text_col: str = "text", length_c
     at = columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in in_pieces(whole, at)):
             texts = [None if t is None else mask(t, find(t, threshold)) for t in (v.as_py() for v in batch.column(at))]
             arrays = list(batch.columns)
             arrays[at] = pa.array(texts, batch.schema.field(at).type)

@@ -3,14 +3,18 @@
 import os
 import subprocess
 import sys
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from churnlake.llm import block_search, language, mixing, near_dedup
 from churnlake.llm.common import components
-from churnlake.session import stage
+from churnlake.session import new_path, stage
 
 SMALL = "/root/testdata/sf0.001"
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -75,6 +79,49 @@ def test_components_leave_the_callers_cache_alone(spark):
     kept.unpersist()
 
 
+def test_small_tables_are_not_written_as_a_file_per_shuffle_partition(spark):
+    """Each file that an executor writes to a local folder starts processes beside it."""
+    words = np.random.default_rng(5).integers(0, 5000, (400, 30))
+    rows = [(i, " ".join(f"w{w}" for w in (words[i - i % 2][:-1] if i % 4 < 2 else words[i])), "en", "web", 100) for i in range(400)]
+    docs = stage(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1), "few")
+    folder = Path(new_path(spark, "x").removeprefix("file://")).parent
+    held = {"spark.sql.shuffle.partitions": "101", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    written = {}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        for name, step in (("near", corpus_pipeline.one_of_each), ("mixed", corpus_pipeline.mixed), ("packed", corpus_pipeline.packed)):
+            before = set(folder.rglob("part-*.parquet"))
+            assert step(spark, docs, "").count() > 0
+            written[name] = len(set(folder.rglob("part-*.parquet")) - before)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    # of near-duplicates the first table of links is as wide as the shuffle: its rows are not known before
+    assert written["near"] <= 101 + 20 and written["mixed"] <= 12 and written["packed"] <= 8, written
+
+
+def test_components_in_few_files_keep_every_link(spark, monkeypatch):
+    import churnlake.session as session
+    monkeypatch.setattr(session, "ROWS_PER_FILE", 7)
+    chains = [(i, i + 3) for i in range(1, 200)] + [(500, 900), (901, 900)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(chains, "a long, b long").repartition(16)).collect()}
+    assert found == {i: 1 + (i - 1) % 3 for i in range(4, 203)} | {900: 500, 901: 500}
+
+
+def test_code_lengths_need_little_memory_beside_the_texts():
+    grams = pd.DataFrame({"lang": "en", "gram": [(97 << 24) | (98 << 16) | (99 << 8) | c for c in range(97, 123)], "n": 1})
+    model, texts = language.build(["en"], grams, 100), pa.array(["abcdefghi " * 1000] * 52)
+    one = language.code_lengths(model, texts[:1])
+    tracemalloc.start()
+    try:
+        assert (language.code_lengths(model, texts) == one).all()
+        assert tracemalloc.get_traced_memory()[1] < 8e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_executors_need_not_have_the_package(tmp_path):
     """The package is put on the driver's path only; Python workers start without it."""
     code = (f"import sys; sys.path.insert(0, {REPO!r})\n"
