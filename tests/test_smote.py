@@ -69,3 +69,23 @@ def test_vectors_are_sent_to_few_cells(spark, monkeypatch):
     for i, want in enumerate(np.sort(d, axis=1)[:, :5]):
         assert sorted(got[f"v{i:04}"]) == pytest.approx(want.tolist(), abs=1e-9)
     assert asked[-1] < 2 * len(x)
+
+
+@pytest.mark.parametrize("wider, pairs", [(4, 10**9), (1, 10**9), (1, 0)])
+def test_shared_neighbours_give_the_rows_of_a_search_of_its_own(spark, monkeypatch, wider, pairs):
+    """Samples of a table with copies: long lists, lists that fall short, and those of too many vectors to compare all."""
+    import churnlake.ml.smote as module
+
+    monkeypatch.setattr(module, "WIDER", wider)
+    monkeypatch.setattr(module, "PAIRS", pairs)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.integers(0, 6, (160, 3)).astype(float), rng.random((240, 3)) * 9])
+    rows = [(f"c{i:03}", r.tolist(), int(i % 5 < 2), i % 3) for i, r in enumerate(x)]
+    df = stage(spark.createDataFrame(rows, "customer_id string, x array<double>, label int, part int"))
+    shared = module.shared_neighbours(df, cell=32)
+    for sample in (df, df.filter("part != 0"), df.filter("part = 1"), df.filter("label = 0 OR customer_id < 'c010'")):
+        one = stage(sample)
+        want = sorted(map(str, smote(one).collect()))
+        assert want and sorted(map(str, smote(one, shared=shared).collect())) == want
+    few = stage(df.filter("label = 1 OR customer_id < 'c050'"))            # the other class is the smaller one here
+    assert sorted(map(str, smote(few, shared=shared).collect())) == sorted(map(str, smote(few).collect()))

@@ -137,3 +137,42 @@ def test_models_of_few_rows_are_trained_side_by_side(data, monkeypatch):
     one = plan.train_and_evaluate(data, **options, parallelism=1)
     assert [(r.name, r.params, r.metrics) for r in several[0]] == [(r.name, r.params, r.metrics) for r in one[0]]
     assert sorted(map(tuple, several[1].collect())) == sorted(map(tuple, one[1].collect()))
+
+
+def test_a_run_searches_neighbours_once_and_fits_in_turn(data, spark, monkeypatch):
+    """Many rows: one neighbour search for all samples; searches run side by side and share the allowed fits."""
+    import threading
+    import time
+
+    import churnlake.ml.smote as smote
+
+    searches, running, most, lock = [], set(), [], threading.Lock()
+    search, fit = smote.nearest_vectors, T.fit
+
+    def counted(rows, name, *a, **b):
+        me = (name, threading.get_ident())
+        with lock:
+            running.add(me)
+            most.append((len(running), len({n for n, _ in running})))
+        time.sleep(0.2)
+        try:
+            return fit(rows, name, *a, **b)
+        finally:
+            with lock:
+                running.remove(me)
+
+    monkeypatch.setattr(T, "ROWS_AT_ONCE", 1)
+    monkeypatch.setattr(smote, "nearest_vectors", lambda *a, **b: searches.append(1) or search(*a, **b))
+    monkeypatch.setattr(T, "fit", counted)
+    options = {"grids": {"Logistic Regression": {"C": [1.0]}, "Random Forest": {"n_estimators": [2], "max_depth": [2]}},
+               "draws": {"Logistic Regression": 1, "Random Forest": 1}, "folds": 2}
+    several = plan.train_and_evaluate(data, **options, parallelism=2)
+    assert len(searches) == 1 and len(most) == 8
+    assert max(n for n, _ in most) == 2 and max(m for _, m in most) == 2
+    monkeypatch.setattr(plan, "shared_neighbours", lambda train: None)      # a search for each sample
+    monkeypatch.setattr(T, "shared_neighbours", lambda train: None)
+    one = plan.train_and_evaluate(data, **options, parallelism=1)
+    assert len(searches) == 1 + 4
+    assert [(r.name, r.params) for r in several[0]] == [(r.name, r.params) for r in one[0]]
+    for a, b in zip(several[0], one[0]):
+        assert a.metrics == pytest.approx(b.metrics, abs=1e-9)
